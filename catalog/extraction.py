@@ -11,7 +11,8 @@ from catalog.tables import RAW_LISTINGS, duck
 from hearthline import schema as S
 from hearthline.functions import html as H
 from hearthline.operators import attributes as A
-from hearthline.plans.listing_pages import cleaned_counts, extract_fields, page_to_listing as to_listing
+from hearthline.plans.listing_pages import cleaned_counts, extract_fields, page_to_listing_by_vocabulary
+from hearthline.plans.listing_pages import page_to_listing as to_listing
 
 _TITLE = f"""case when "Title" = '{S.TITLE_MISSING}' then "Title" else replace("Title", ', ', ' & ') || '!' end"""
 _FEET = f"""case when "Bedrooms" = '{S.BEDROOMS_MISSING}' then '{S.SQUARE_FEET_MISSING}'
@@ -56,7 +57,7 @@ def html_attributes(t):
 )
 def html_result_links(t):
     links = H.html_result_links(H.visible(F.col("html")), ("li", None))
-    return t.pages.select("page_id", F.explode(links).alias("link"))
+    return t.pages.select("page_id", F.explode_outer(links).alias("link")).filter("link is not null")
 
 
 @query(
@@ -82,6 +83,15 @@ def page_to_listing(t):
     return to_listing(t.listing_pages, day=dt.date(2024, 5, 31))
 
 
+@query(
+    f"""select {_BASIC}, {", ".join(f'"{n}"' for n in S.RAW_FLAGS if n != "house")}, date '2024-05-31' as date_added
+    from {duck(RAW_LISTINGS)}"""
+)
+def page_to_listing_vocabulary(t):
+    # No listing is a "house", so that flag gets no column.
+    return page_to_listing_by_vocabulary(t.listing_pages, day=dt.date(2024, 5, 31))
+
+
 @query(f'select "id" as page_id, {_BASIC} from {duck(RAW_LISTINGS)}')
 def html_basic_columns(t):
     return extract_fields(t.listing_pages).drop("attributes", "url", "date_added")

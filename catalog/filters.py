@@ -57,7 +57,7 @@ def conjunctive_filter(t):
 
 @query(f"select event_id, attribute from ({ATTRIBUTE_ROWS_SQL}) where {FEE_SQL}")
 def regex_fee_filter(t):
-    rows = t.attribute_lists.select("event_id", F.explode("attributes").alias("attribute"))
+    rows = A.attribute_rows(t.attribute_lists, keep=["event_id"])
     return A.regex_fee_filter(rows)
 
 

@@ -154,7 +154,7 @@ def _vocabulary(t):
 
 
 def _attribute_rows(t):
-    return t.attribute_lists.select("event_id", F.explode("attributes").alias("attribute"))
+    return A.attribute_rows(t.attribute_lists, keep=["event_id"])
 
 
 @query(f"select event_id, attribute from ({ATTRIBUTE_ROWS_SQL}) where attribute in ({_VOCABULARY_SQL})")

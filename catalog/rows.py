@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from catalog.geo import miles_sql
 from catalog.registry import query
-from catalog.tables import ATTRIBUTE_ROWS_SQL, FOLDED_COUNTS_SQL, LOCATED_LISTINGS, RAW_LISTINGS, duck
+from catalog.tables import ATTRIBUTE_ROWS_SQL, FOLDED_COUNTS_SQL, LOCATED_LISTINGS, RAW_LISTINGS, STORES, duck
 from hearthline import schema as S
 from hearthline.operators import attributes as A
 from hearthline.operators import profile as P
@@ -136,3 +137,48 @@ def cleaning_chain_keep_unlisted(t):
 @query(f"select count(distinct attribute) as attributes from ({ATTRIBUTE_ROWS_SQL})")
 def distinct_attributes(t):
     return P.row_count(A.attribute_counts(t.attribute_lists)).withColumnRenamed("rows", "attributes")
+
+
+_DAILY_HOMES = f"""
+select "id", {", ".join(f'"{n}"' for n in S.RAW_FLAGS)},
+  case when "Title" = '{S.TITLE_MISSING}' then null else replace("Title", ', ', ' & ') || '!' end as title,
+  try_cast(replace(replace("Price", '$', ''), ',', '') as double) as price,
+  case when "Bedrooms" = '{S.BEDROOMS_MISSING}' then null
+       else try_cast(try_cast("Square Feet" as double) as int) end as square_feet,
+  "Bedrooms", "Full Address" as full_address,
+  case when "Full Address" <> 'None listed' then
+    33.95::double + (cast(string_split("Full Address", ' ')[1] as int) * 37 % 1300) / 10000.0::double end as latitude,
+  case when "Full Address" <> 'None listed' then
+    -118.5::double + (cast(string_split("Full Address", ' ')[1] as int) * 53 % 1500) / 10000.0::double end as longitude
+from {_RAW}"""
+_DAILY_MILES = miles_sql("h.latitude", "h.longitude", "s.lat", "s.lng")
+_DAILY_BEST = f"""
+select latitude, longitude, tier, round(distance, 6) as distance, store from (
+  select h.latitude, h.longitude, s.tier, {_DAILY_MILES} as distance, s.name || ' - ' || s.address as store,
+    row_number() over (partition by h.latitude, h.longitude, s.tier
+                       order by round({_DAILY_MILES}, 9), s.store_order) as rank
+  from (select distinct latitude, longitude from ({_DAILY_HOMES}) where latitude is not null) h
+  cross join {duck(STORES)} s) where rank = 1"""
+
+
+@query(
+    f"""with best as ({_DAILY_BEST})
+    select distinct h.title, h.price, h."Bedrooms", h.square_feet, h.full_address,
+      {", ".join(f'h."{n}" as "{S.RENAMES.get(n, n)}"' for n in S.RAW_FLAGS)},
+      date '2024-05-31' as date_added, round(h.latitude, 6) as latitude, round(h.longitude, 6) as longitude,
+      {", ".join(f'{x}.distance as "{S.distance_column(x)}", {x}.store as "{S.store_column(x)}"' for x in S.TIERS)}
+    from ({_DAILY_HOMES}) h
+    {" ".join(f"left join best {x} on {x}.latitude = h.latitude and {x}.longitude = h.longitude and {x}.tier = '{x}'" for x in S.TIERS)}
+    where h.title is not null and h.square_feet is not null"""
+)
+def daily_listings(t):
+    """Pages to cleaned, located listings: the whole daily load."""
+    street = F.concat(F.col("n").cast("string"), F.lit(" Elm St"))
+    numbers = t.customer.select((F.col("c_custkey") % 900 + 1).alias("n")).distinct()
+    geocode = numbers.select(
+        street.alias("address"),
+        (33.95 + (F.col("n") * 37 % 1300) / 10000.0).alias("lat"),
+        (-118.5 + (F.col("n") * 53 % 1500) / 10000.0).alias("lng"),
+    )
+    listings = daily.daily_listings(t.listing_pages, geocode, t.stores, dt.date(2024, 5, 31))
+    return _rounded(listings)

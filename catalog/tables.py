@@ -221,4 +221,13 @@ class Tables:
 
     @cached_property
     def listing_pages(self) -> DataFrame:
-        return self.spark.sql(LISTING_PAGES, raw=self.raw_listings)
+        return self.spark.sql(LISTING_PAGES, raw=self._spread(self.raw_listings))
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Over all cores where the scan has fewer splits than that.
+
+        The test tables are single small files; everything made from them
+        would otherwise be made on one core.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -16,12 +16,13 @@ EARTH_RADIUS_MILES = EARTH_RADIUS_KM * MILES_PER_KM
 
 
 def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in miles; null when a coordinate is null."""
+    """Great-circle distance in miles; null or NaN when a coordinate is."""
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    # Not least(): it would skip a null and answer half the earth's girth.
-    bounded = F.when(chord > 1.0, 1.0).otherwise(chord)
+    # Not least(): it skips a null, and NaN counts as larger than any number;
+    # both would answer half the earth's girth.
+    bounded = F.when((chord > 1.0) & ~F.isnan(chord), 1.0).otherwise(chord)
     return F.lit(2 * EARTH_RADIUS_MILES) * F.asin(F.sqrt(bounded))
 
 

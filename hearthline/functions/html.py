@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html.entities
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from hearthline import schema as S
 from hearthline.functions.text import split_index, strip_ws
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 _PIECES = rf"(?s){_REFERENCE}|[^&]+|&"
 
@@ -52,9 +53,14 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
-def plain_text(fragment: Column) -> Column:
-    """Element content to text: tags dropped, references decoded."""
-    return unescape(F.regexp_replace(visible(fragment), r"<[^>]*+>", ""))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed one time however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def plain_text(element: Column) -> Column:
+    """An element of a visible page to text: tags dropped, references decoded."""
+    return _once(F.regexp_replace(element, r"<[^>]*+>", ""), unescape)
 
 
 def _attribute(name: str, value: str) -> str:
@@ -86,19 +92,24 @@ def _content(tag: str, depth: int = 3) -> str:
 
 
 def element_pattern(tag: str, attribute: tuple[str, str] | None = None) -> str:
-    """Pattern whose group 1 is the content of the first matching element."""
-    return rf"(?is){_opening(tag, attribute)}({_content(tag)})"
+    """Pattern of a whole element (group 1) and its content (group 2)."""
+    return rf"(?is)({_opening(tag, attribute)}({_content(tag)}))"
 
 
-def html_text(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
-    """Unstripped text of the first such element, null when the page has none.
+def html_element(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+    """The first such element with its tags, null when the page has none.
 
-    ``regexp_extract`` answers an empty text both for an empty element and for
-    a missing one, so presence is tested on its own.
+    A list of matches is asked for, because ``regexp_extract`` cannot tell an
+    absent element from an empty one. The pattern swallows the rest of the
+    page, so the search still ends at the first hit.
     """
-    pattern = element_pattern(tag, attribute)
-    present = page.rlike(rf"(?is){_opening(tag, attribute)}")
-    return F.when(present, plain_text(F.regexp_extract(page, pattern, 1)))
+    first = element_pattern(tag, attribute) + r".*+"
+    return F.get(F.regexp_extract_all(page, F.lit(first), F.lit(1)), F.lit(0))
+
+
+def html_text(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+    """Unstripped text of the first such element of a visible page, else null."""
+    return _once(html_element(page, tag, attribute), plain_text)
 
 
 def html_text_field(page: Column, tag: str, attribute: tuple[str, str] | None, sentinel: str) -> Column:
@@ -111,19 +122,23 @@ def html_housing_split(housing: Column) -> Column:
 
     Both become sentinels together as soon as one separator is absent.
     """
-    after_slash = split_index(housing, "/", 1)
-    after_dash = split_index(housing, "-", 1)
-    bedrooms = strip_ws(split_index(after_slash, "-", 0))
-    square_feet = strip_ws(split_index(after_dash, "ft", 0))
-    readable = after_slash.isNotNull() & after_dash.isNotNull()
-    return F.struct(
-        F.when(readable, bedrooms).otherwise(F.lit(S.BEDROOMS_MISSING)).alias("bedrooms"),
-        F.when(readable, square_feet).otherwise(F.lit(S.SQUARE_FEET_MISSING)).alias("square_feet"),
-    )
+
+    def parts(text: Column) -> Column:
+        after_slash = split_index(text, "/", 1)
+        after_dash = split_index(text, "-", 1)
+        bedrooms = strip_ws(split_index(after_slash, "-", 0))
+        square_feet = strip_ws(split_index(after_dash, "ft", 0))
+        readable = after_slash.isNotNull() & after_dash.isNotNull()
+        return F.struct(
+            F.when(readable, bedrooms).otherwise(F.lit(S.BEDROOMS_MISSING)).alias("bedrooms"),
+            F.when(readable, square_feet).otherwise(F.lit(S.SQUARE_FEET_MISSING)).alias("square_feet"),
+        )
+
+    return _once(housing, parts)
 
 
 def html_elements(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
-    """Contents of all such elements, in page order."""
+    """All such elements with their tags, in page order."""
     return F.regexp_extract_all(page, F.lit(element_pattern(tag, attribute)), F.lit(1))
 
 
@@ -133,8 +148,9 @@ def html_attributes(
     inner: tuple[str, tuple[str, str] | None] = ("span", ("class", "valu")),
 ) -> Column:
     """The first inner element's text of every outer element, as an array."""
-    texts = F.transform(html_elements(page, *outer), lambda block: strip_ws(html_text(block, *inner)))
-    return F.filter(texts, lambda text: text.isNotNull())
+    values = F.transform(html_elements(page, *outer), lambda block: html_element(block, *inner))
+    held = F.filter(values, lambda value: value.isNotNull())
+    return F.transform(held, lambda value: strip_ws(plain_text(value)))
 
 
 def html_result_links(page: Column, item: tuple[str, tuple[str, str] | None]) -> Column:
@@ -150,7 +166,7 @@ def html_result_links(page: Column, item: tuple[str, tuple[str, str] | None]) ->
 
 def html_postings_count(page: Column) -> Column:
     """Text of the first div directly inside the result counter."""
-    counter = F.regexp_extract(page, element_pattern("div", ("class", "cl-count-save-bar")), 1)
+    counter = F.regexp_extract(page, element_pattern("div", ("class", "cl-count-save-bar")), 2)
     return F.coalesce(html_text(counter, "div"), F.lit(S.POSTINGS_COUNT_MISSING))
 
 

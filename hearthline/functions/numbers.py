@@ -10,6 +10,6 @@ def round2(value: Column) -> Column:
     """Two places, halves to even, as scaled binary arithmetic rounds them.
 
     ``bround`` rounds the decimal text of a double instead and differs on
-    values such as 2.675.
+    values such as 1.015.
     """
     return F.rint(value * 100) / 100

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,19 @@ from hearthline import schema as S
 from hearthline.functions.text import is_fee
 
 
+def attribute_rows(df: DataFrame, attributes: str = "attributes", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per attribute of a listing.
+
+    The outer form plus a null filter: for the plain form the optimizer tests
+    the size of the array first, and so computes an extracted array twice.
+    """
+    rows = df.select(*keep, F.explode_outer(attributes).alias("attribute"))
+    return rows.filter(F.col("attribute").isNotNull())
+
+
 def attribute_counts(df: DataFrame, attributes: str = "attributes") -> DataFrame:
     """Occurrences of each attribute; repeats within a listing count again."""
-    return df.select(F.explode(attributes).alias("attribute")).groupBy("attribute").agg(F.count("*").alias("count"))
+    return attribute_rows(df, attributes).groupBy("attribute").agg(F.count("*").alias("count"))
 
 
 def collapse_fee_group(counts: DataFrame) -> DataFrame:

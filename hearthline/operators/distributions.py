@@ -29,16 +29,16 @@ def histogram_equal_width(df: DataFrame, column: str, bins: int = 10) -> DataFra
     low, width = _one(ends, "low"), (_one(ends, "high") - _one(ends, "low")) / bins
     index = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
     counts = df.filter(value.isNotNull()).groupBy(index.alias("bin")).agg(F.count("*").alias("count"))
-    frame = ends.filter(F.col("low").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-        F.col("low").alias("start"),
-        ((F.col("high") - F.col("low")) / bins).alias("width"),
+    frame = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"),
+        (low + F.col("id") * width).alias("low"),
+        (low + (F.col("id") + 1) * width).alias("high"),
     )
-    return frame.join(counts, "bin", "left").select(
-        "bin",
-        (F.col("start") + F.col("bin") * F.col("width")).alias("low"),
-        (F.col("start") + (F.col("bin") + 1) * F.col("width")).alias("high"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+    # Without values there is no range, hence no bins.
+    return (
+        frame.filter(F.col("low").isNotNull())
+        .join(counts, "bin", "left")
+        .select("bin", "low", "high", F.coalesce("count", F.lit(0)).alias("count"))
     )
 
 

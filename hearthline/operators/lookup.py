@@ -70,7 +70,8 @@ def store_tier_label(
     )
     lowered = F.lower(F.col(name))
     hits = F.filter(entries, lambda e: lowered.contains(F.lower(e["keyword"])))
-    return places.select("*", F.inline(hits))
+    # Outer plus filter: the plain form would test every name twice.
+    return places.select("*", F.inline_outer(hits)).filter(F.col("keyword_order").isNotNull())
 
 
 def within_radius(

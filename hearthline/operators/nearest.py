@@ -367,7 +367,7 @@ def nearest_store_wide(
     unplaced = missing(F.col(lat)) | missing(F.col(lon))
     columns: list[Column] = [F.col(f"`{c}`") for c in listings.columns]
     for t in tiers:
-        columns.append(F.col(f"_best_{t}.distance").alias(S.distance_column(t)))
+        columns.append(F.when(~unplaced, F.col(f"_best_{t}.distance")).alias(S.distance_column(t)))
         label = F.when(unplaced, F.lit(S.STORE_MISSING)).otherwise(F.col(f"_best_{t}.label"))
         columns.append(label.alias(S.store_column(t)))
     return best.select(*columns)
@@ -394,7 +394,7 @@ def nearest_store(
             for t in tiers
         ]
     )
-    return wide.select(*[F.col(f"`{c}`") for c in listings.columns], F.inline(rows))
+    return wide.select(*[F.col(f"`{c}`") for c in listings.columns], F.inline_outer(rows))
 
 
 def nearest_argmin(df: DataFrame, group: Sequence[str], value: str, tiebreak: str, payload: Sequence[str]) -> DataFrame:

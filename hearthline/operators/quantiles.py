@@ -104,7 +104,7 @@ def _ranked(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
     )
     # Most rows are in no bracket; drop them before building any array.
     hit = functools.reduce(lambda a, b: a | b, [_inside(b).isNotNull() for b in brackets])
-    counts = df.filter(hit).select(F.inline(inside)).groupBy("wanted", "value").agg(F.count("*").alias("n"))
+    counts = df.filter(hit).select(F.inline_outer(inside)).groupBy("wanted", "value").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(
         Window.partitionBy("wanted").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -11,6 +11,7 @@ from hearthline import schema as S
 from hearthline.functions.text import money_parse, square_feet_parse
 from hearthline.operators import filters, lookup, nearest, projection, rows
 from hearthline.plans.listing_pages import page_to_listing
+from hearthline.session import ensure_checkpoints
 from hearthline.sources.writers import append_listings
 
 
@@ -41,8 +42,13 @@ def ready(cleaned: DataFrame, keep_unlisted: bool = False) -> DataFrame:
 def daily_listings(
     pages: DataFrame, geocode: DataFrame, stores: DataFrame, day: dt.date, keep_unlisted: bool = True
 ) -> DataFrame:
-    """All steps as one plan; the daily load keeps unlisted addresses."""
-    raw = page_to_listing(rows.dedup_by_url(pages), day=day)
+    """All steps from pages on; the daily load keeps unlisted addresses.
+
+    The raw listings are kept in the shared folder: a long store list makes the
+    nearest-store search read them twice, and pages should be read once.
+    """
+    ensure_checkpoints(pages.sparkSession)
+    raw = page_to_listing(rows.dedup_by_url(pages), day=day).checkpoint()
     return ready(clean(locate(raw, geocode, stores)), keep_unlisted)
 
 

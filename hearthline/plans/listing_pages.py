@@ -13,6 +13,7 @@ from hearthline import schema as S
 from hearthline.functions import html as H
 from hearthline.operators import attributes as A
 from hearthline.operators.projection import add_ingest_date, master_schema_project, multi_hot_encode
+from hearthline.session import ensure_checkpoints
 
 Selector = tuple[str, tuple[str, str] | None]
 
@@ -60,23 +61,34 @@ def cleaned_counts(fields: DataFrame) -> DataFrame:
     return A.collapse_fee_group(A.attribute_counts(fields))
 
 
-def page_to_listing(
+def encode_listings(fields: DataFrame, flags: Sequence[str], day: dt.date | None = None) -> DataFrame:
+    """Extracted fields to raw listing rows with one 0/1 column per flag name."""
+    names = [*flags] if S.FEE_ATTRIBUTE in flags else [*flags, S.FEE_ATTRIBUTE]
+    separated = A.fee_flag_per_listing(fields)
+    encoded = multi_hot_encode(separated, "attributes", [n for n in names if n != S.FEE_ATTRIBUTE])
+    flagged = encoded.withColumnRenamed("fee_needed", S.FEE_ATTRIBUTE)
+    return master_schema_project(add_ingest_date(flagged, day), S.BASIC_COLUMNS + names + ["date_added"])
+
+
+def page_to_listing(pages: DataFrame, at: Selectors = Selectors(), day: dt.date | None = None) -> DataFrame:
+    """One raw listing row per page with the fixed master flags.
+
+    A projection from start to end: pages never leave their task.
+    """
+    return encode_listings(extract_fields(pages, at), S.RAW_FLAGS, day)
+
+
+def page_to_listing_by_vocabulary(
     pages: DataFrame,
     at: Selectors = Selectors(),
-    vocabulary: Sequence[str] | None = None,
     day: dt.date | None = None,
+    at_least: int = S.MIN_ATTRIBUTE_COUNT,
 ) -> DataFrame:
-    """One raw listing row per page: basic columns, 0/1 flags, date.
+    """The same with the flags that the pages themselves support.
 
-    The vocabulary names the flag columns. By default it is the fixed master
-    list; ``hearthline.operators.attributes.vocabulary`` gives the one that the
-    data itself supports.
+    The vocabulary needs a count over all pages first. The extracted fields are
+    kept in the shared folder in between, so every page is read once only.
     """
-    names = list(S.RAW_FLAGS if vocabulary is None else vocabulary)
-    if S.FEE_ATTRIBUTE not in names:
-        names.append(S.FEE_ATTRIBUTE)
-    fields = A.fee_flag_per_listing(extract_fields(pages, at))
-    encoded = multi_hot_encode(fields, "attributes", [n for n in names if n != S.FEE_ATTRIBUTE])
-    flagged = encoded.withColumnRenamed("fee_needed", S.FEE_ATTRIBUTE)
-    stamped = add_ingest_date(flagged, day)
-    return master_schema_project(stamped, S.BASIC_COLUMNS + names + ["date_added"])
+    ensure_checkpoints(pages.sparkSession)
+    fields = extract_fields(pages, at).checkpoint()
+    return encode_listings(fields, A.vocabulary(cleaned_counts(fields), at_least), day)

@@ -81,4 +81,6 @@ def places_from_json(df: DataFrame, answer: str) -> DataFrame:
             p["geometry"]["location"]["lng"].alias("lng"),
         ),
     )
-    return df.select(*[c for c in df.columns if c != answer], F.inline(places))
+    # Outer plus filter, so that the answer is parsed once.
+    rows = df.select(*[c for c in df.columns if c != answer], F.inline_outer(places))
+    return rows.filter(F.col("address").isNotNull())
