@@ -11,6 +11,7 @@ from hearthline import schema as S
 from hearthline.operators import model as M
 from hearthline.operators import nearest as N
 from hearthline.operators.profile import target_range
+from hearthline.operators.projection import frame_from_rows
 from hearthline.plans import price_model as Plan
 
 _CLEAN = duck(LISTINGS)
@@ -80,11 +81,10 @@ def _linear(t):
 
 @query(_OLS + "select round(k0, 4) as intercept, round(ka, 4) as l_quantity, round(kb, 4) as l_discount from k")
 def linear_regression(t):
-    model, test = _linear(t)
+    model, _ = _linear(t)
     fitted = model.stages[-1]
-    # The parameters as a frame; the row count of the test part proves the scan.
-    values = [float(fitted.intercept), *[float(c) for c in fitted.coefficients]]
-    frame = t.spark.createDataFrame([tuple(values)], "intercept double, l_quantity double, l_discount double")
+    values = (float(fitted.intercept), *[float(c) for c in fitted.coefficients])
+    frame = frame_from_rows(t.spark, [values], "intercept double, l_quantity double, l_discount double")
     return frame.select(*[near(c, 4) for c in frame.columns])
 
 
@@ -111,7 +111,7 @@ def sorted_coefficients(t):
 @query(_OLS + "select format('Price = {:.2f} + ({:.2f}) * l_quantity + ({:.2f}) * l_discount', k0, ka, kb) as equation from k")
 def equation_string(t):
     model, _ = _linear(t)
-    return t.spark.createDataFrame([(M.equation_string(model, _FEATURES),)], "equation string")
+    return frame_from_rows(t.spark, [(M.equation_string(model, _FEATURES),)], "equation string")
 
 
 @query(_OLS + "select l_orderkey, l_linenumber, l_partkey, round(prediction, 4) as prediction from p")

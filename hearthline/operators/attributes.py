@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions.text import is_fee
+from hearthline.operators.projection import frame_from_rows
 
 
 def attribute_rows(df: DataFrame, attributes: str = "attributes", keep: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +31,7 @@ def collapse_fee_group(counts: DataFrame) -> DataFrame:
     """All fee-like attributes under one name, present even when there is none."""
     name = F.when(is_fee(F.col("attribute")), F.lit(S.FEE_ATTRIBUTE)).otherwise(F.col("attribute"))
     folded = counts.select(name.alias("attribute"), "count")
-    zero = counts.sparkSession.createDataFrame([(S.FEE_ATTRIBUTE, 0)], "attribute string, count bigint")
+    zero = frame_from_rows(counts.sparkSession, [(S.FEE_ATTRIBUTE, 0)], "attribute string, count bigint")
     return folded.unionByName(zero).groupBy("attribute").agg(F.sum("count").alias("count"))
 
 

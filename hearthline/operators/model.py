@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions.numbers import round2
-from hearthline.operators.projection import quoted
+from hearthline.operators.projection import frame_from_rows, quoted
 from hearthline.operators.quantiles import clean_number, value_at_rank
+from hearthline.session import ensure_checkpoints
 
 # Seed and hyper-parameters of the compared models.
 SEED = 42
@@ -90,6 +91,8 @@ def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> Pipe
     pipeline = Pipeline(stages=[assembler, estimator])
     if isinstance(estimator, LinearRegression):
         return pipeline.fit(train)
+    # Fitting cuts its lineage every few rounds if there is a folder for it.
+    ensure_checkpoints(train.sparkSession)
     kept = train.repartition(train.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         return pipeline.fit(kept)
@@ -102,23 +105,26 @@ def linear_regression(label: str = "price") -> LinearRegression:
     return LinearRegression(labelCol=label, solver="normal", regParam=0.0, standardization=False)
 
 
-def random_forest(label: str = "price", depth: int = 30, trees: int = TREES) -> RandomForestRegressor:
+def random_forest(
+    label: str = "price", depth: int = 30, trees: int = TREES, bins: int = 64
+) -> RandomForestRegressor:
     """Forest over all features, grown until leaves are pure.
 
     30 is the deepest level that is allowed. A full-depth tree has about as
     many leaves as there are rows; on very large tables give a smaller depth.
+    Continuous features are split at ``bins`` quantiles; the statistics that
+    every level shuffles grow with it.
     """
     return RandomForestRegressor(
         labelCol=label,
         numTrees=trees,
         maxDepth=depth,
-        maxBins=256,
+        maxBins=bins,
         minInstancesPerNode=1,
         featureSubsetStrategy="all",
         seed=SEED,
         # Each row remembers its node, so deep trees are not shipped to every task.
         cacheNodeIds=True,
-        maxMemoryInMB=1024,
     )
 
 
@@ -169,7 +175,7 @@ def model_comparison(scored: Mapping[str, DataFrame], label: str = "price") -> D
 def _named(df: DataFrame, features: Sequence[str], values, column: str) -> DataFrame:
     # A few dozen model parameters, already on the driver.
     rows = [(name, float(v)) for name, v in zip(features, values, strict=True)]
-    return df.sparkSession.createDataFrame(rows, f"feature string, {column} double")
+    return frame_from_rows(df.sparkSession, rows, f"feature string, {column} double")
 
 
 def coefficient_table(model: PipelineModel, features: Sequence[str], like: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hearthline import schema as S
 from hearthline.functions.text import flag_label
-from hearthline.operators.projection import quoted
+from hearthline.operators.projection import frame_from_rows, quoted
 from hearthline.operators.quantiles import clean_number, exact_quantiles
 
 
@@ -88,9 +88,15 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+_MOMENTS = "column string, count bigint, mean double, std double, min double, max double"
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std (sample), min, quartiles, max per column."""
-    parts, rows = [], []
+    """count, mean, std (sample), min, quartiles, max per column.
+
+    One scan for the moments, whose single row also bounds the quartile search.
+    """
+    parts = []
     for i, c in enumerate(columns):
         value = clean_number(c)
         parts += [
@@ -100,27 +106,20 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(value).alias(f"l{i}"),
             F.max(value).alias(f"h{i}"),
         ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"n{i}").alias("count"),
-                F.col(f"m{i}").alias("mean"),
-                F.col(f"s{i}").alias("std"),
-                F.col(f"l{i}").alias("min"),
-                F.col(f"h{i}").alias("max"),
-            )
-        )
-    moments = df.agg(*parts).select(F.inline(F.array(*rows)))
+    row = df.agg(*parts).first()
+    moments = [(c, *(row[f"{k}{i}"] for k in "nmslh")) for i, c in enumerate(columns)]
+    facts = {c: (n, low, high) for c, n, _, _, low, high in moments}
 
     def quartile(fraction: float) -> Column:
         return F.max(F.when(F.col("fraction") == fraction, F.col("value")))
 
     quartiles = (
-        exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+        exact_quantiles(df, columns, [0.25, 0.5, 0.75], facts)
         .groupBy("column")
         .agg(quartile(0.25).alias("p25"), quartile(0.5).alias("p50"), quartile(0.75).alias("p75"))
     )
-    return moments.join(quartiles, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    described = frame_from_rows(df.sparkSession, moments, _MOMENTS).join(quartiles, "column")
+    return described.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def target_range(df: DataFrame, column: str) -> DataFrame:

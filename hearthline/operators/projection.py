@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,10 +155,16 @@ def feature_select(df: DataFrame, label: str = "price", keep: Sequence[str] = ()
 
 
 def frame_from_rows(spark: SparkSession, rows: Sequence[tuple], columns: str | T.StructType) -> DataFrame:
-    """A small literal frame. Driver rows only: for constants, not for data."""
-    return spark.createDataFrame(list(rows), columns)
+    """A small literal frame. Driver rows only: for constants, not for data.
+
+    Handed over as an Arrow table it becomes a local relation, whose size the
+    optimizer knows, so a join with it needs no shuffle.
+    """
+    schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
+    arrays = [pa.array([row[i] for row in rows]) for i in range(len(schema.names))]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names), schema)
 
 
 def empty_frame(spark: SparkSession, columns: str | T.StructType) -> DataFrame:
     """No rows, named and typed columns: the neutral element of a union."""
-    return spark.createDataFrame([], columns)
+    return frame_from_rows(spark, [], columns)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.operators.projection import quoted
+from hearthline.operators.projection import frame_from_rows, quoted
 
 # Columns with at most this many values use the built-in exact aggregate.
 BUILT_IN_ROWS = 1_000_000
@@ -150,13 +150,17 @@ def _built_in(df: DataFrame, columns: Sequence[str], fractions: Sequence[float])
     return row.select(F.inline(F.array(*entries)))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], facts: dict[str, tuple] | None = None
+) -> DataFrame:
     """(column, fraction, value) with linear interpolation between ranks.
 
-    Nulls and NaN are left out; a column without values gives null.
+    Nulls and NaN are left out; a column without values gives null. A caller
+    that knows count, minimum and maximum of the columns can pass them and
+    save a scan.
     """
     columns = list(dict.fromkeys(columns))
-    facts = _facts(df, columns)
+    facts = facts or _facts(df, columns)
     if max(n for n, _, _ in facts.values()) <= BUILT_IN_ROWS:
         return _built_in(df, columns, fractions)
     targets, wanted = [], []
@@ -170,7 +174,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
                 wanted.append((c, first, min(first + 1, n - 1)))
             else:
                 targets.append((c, float(f), -1, 0.0))
-    plan = df.sparkSession.createDataFrame(targets, "column string, fraction double, wanted int, share double")
+    plan = frame_from_rows(df.sparkSession, targets, "column string, fraction double, wanted int, share double")
     if not wanted:
         return plan.select("column", "fraction", F.lit(None).cast("double").alias("value"))
     ranked = _ranked(df, _brackets(df, wanted, facts))

@@ -36,8 +36,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (local tests) a temporary folder of this machine is made and set.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset on
+    a one-machine session (tests) a temporary folder is made and set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     made = tempfile.mkdtemp(prefix="hearthline-")
     spark.sparkContext.setCheckpointDir(made)
     return made
