@@ -20,7 +20,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline import schema as S
@@ -111,14 +111,16 @@ def _bounds(level: int) -> tuple[Column, Column]:
 
 
 def _prune(pairs: DataFrame, level: int) -> DataFrame:
-    """Pairs that can still hold the nearest store, with the cell's store count."""
+    """Pairs that can still hold the nearest store, with the cell's store count.
+
+    The pairs of one listing cell are few: at the start all pairs together are
+    bounded, later a cell holds what its parent kept, times sixteen.
+    """
     low, high = _bounds(level)
-    bounded = pairs.withColumns({"low": low, "high": high})
-    reach = bounded.groupBy("tier", "qx", "qy").agg(F.min("high").alias("reach"))
-    kept = bounded.join(reach, ["tier", "qx", "qy"]).filter(F.col("low") <= F.col("reach"))
-    kept = kept.select("tier", "qx", "qy", "sx", "sy", "n")
-    total = kept.groupBy("tier", "qx", "qy").agg(F.sum("n").alias("total"))
-    return kept.join(total, ["tier", "qx", "qy"])
+    of_cell = Window.partitionBy("tier", "qx", "qy")
+    bounded = pairs.withColumns({"low": low, "high": high}).withColumn("reach", F.min("high").over(of_cell))
+    kept = bounded.filter(F.col("low") <= F.col("reach"))
+    return kept.select("tier", "qx", "qy", "sx", "sy", "n", F.sum("n").over(of_cell).alias("total"))
 
 
 def _cells(leaves: DataFrame, level: int, x: str, y: str, *keys: str) -> DataFrame:
@@ -132,17 +134,17 @@ def _search(listing_leaves: DataFrame, store_leaves: DataFrame, tiers: Sequence[
     """Yield (level, pairs) with the settled pairs of every level reached."""
     levels = range(1, FINEST + 1)
 
-    def sizes(leaves: DataFrame) -> list[int]:
-        # Occupied cells per level, estimated in one pass: only a starting point.
-        counted = leaves.agg(
-            *[
-                F.approx_count_distinct(F.struct(_at(lv, F.col("x")), _at(lv, F.col("y")))).alias(f"l{lv}")
-                for lv in levels
-            ]
-        )
-        return list(counted.first())
-
-    listing_sizes, store_sizes = sizes(listing_leaves), sizes(store_leaves)
+    # Occupied cells of both sides per level, estimated in one job: they only
+    # choose where to start.
+    both = listing_leaves.select(F.lit(0).alias("side"), "x", "y").unionByName(
+        store_leaves.select(F.lit(1).alias("side"), "x", "y")
+    )
+    estimates = [
+        F.approx_count_distinct(F.struct(_at(lv, F.col("x")), _at(lv, F.col("y")))).alias(f"l{lv}") for lv in levels
+    ]
+    sizes = {row["side"]: list(row)[1:] for row in both.groupBy("side").agg(*estimates).collect()}
+    none = [0] * len(levels)
+    listing_sizes, store_sizes = sizes.get(0, none), sizes.get(1, none)
     # Level 1 has 8 cells, so the first choice always exists.
     start = max(
         (lv for lv in levels if lv == 1 or listing_sizes[lv - 1] * store_sizes[lv - 1] * len(tiers) <= start_pairs),
