@@ -10,7 +10,7 @@ from hearthline.functions.html import page_ready
 from hearthline.functions.text import ceil_div_pages, count_text_parse
 from hearthline.operators.filters import page_ready_filter
 from hearthline.operators.projection import empty_frame, frame_from_rows
-from hearthline.operators.rows import union_rows
+from hearthline.operators.rows import dedup_by_url, union_rows
 from hearthline.session import fresh_dir
 from hearthline.sources import readers as R
 from hearthline.sources import writers as W
@@ -121,3 +121,24 @@ def _page_ready_filter(t):
 def page_ready_counts(t):
     return t.pages.groupBy(page_ready(F.col("html")).alias("ready")).agg(F.count("*").alias("pages"))
 
+
+
+_SHARED = """case when page_id % 3 = 0 then 'https://hot.example.org/'
+    else 'https://example.org/' || cast(page_id % 50 as string) end"""
+
+
+@query(
+    f"""select url, page_id, html from (select {_SHARED} as url, page_id, html,
+      row_number() over (partition by {_SHARED} order by page_id desc) as rank from pages) where rank = 1"""
+)
+def incremental_pages(t):
+    """Crawl batches as they arrive: one document per URL within and across batches."""
+    spark = t.spark
+    folder, target, checkpoint = (fresh_dir(spark, f"pages-{p}") for p in ("in", "out", "state"))
+    pages = t.pages.select("page_id", F.expr(_SHARED).alias("url"), "html")
+    later = F.col("page_id") % 2 == 1
+    for part in (pages.filter(~later), pages.filter(later)):
+        part.write.mode("append").parquet(folder)
+        stream = new_files(spark, folder, pages.schema, file_format="parquet")
+        load_available(stream, target, checkpoint, prepare=dedup_by_url)
+    return dedup_by_url(spark.read.parquet(target).drop("load_id"))

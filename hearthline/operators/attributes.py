@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthline import schema as S
 from hearthline.functions.text import is_fee
 from hearthline.operators.projection import frame_from_rows
+from hearthline.session import ensure_checkpoints
 
 
 def attribute_rows(df: DataFrame, attributes: str = "attributes", keep: Sequence[str] = ()) -> DataFrame:
@@ -58,19 +59,31 @@ def regex_fee_filter(df: DataFrame, attribute: str = "attribute") -> DataFrame:
     return df.filter(is_fee(F.col(attribute)))
 
 
-def vocab_semi_join(exploded: DataFrame, vocabulary: DataFrame, key: str = "attribute") -> DataFrame:
-    """Attribute rows that are in the vocabulary."""
-    return exploded.join(vocabulary, key, "left_semi")
+# A vocabulary becomes columns, so it has to fit a schema. Past this many names
+# the job stops and says so, as a pivot without listed values would.
+MAX_VOCABULARY = 10_000
 
 
-def vocab_anti_join(exploded: DataFrame, vocabulary: DataFrame, key: str = "attribute") -> DataFrame:
-    """Attribute rows that are not in the vocabulary."""
-    return exploded.join(vocabulary, key, "left_anti")
+def _small_side(names: DataFrame) -> DataFrame:
+    """A name list, kept and broadcast if it is counted to be short.
 
+    Attribute rows are many and a few attributes make up most of them, so they
+    should not be shuffled by name. A longer list is joined by shuffle, where
+    the adaptive skew join splits the frequent names.
+    """
+    ensure_checkpoints(names.sparkSession)
+    kept = names.checkpoint()
+    return F.broadcast(kept) if kept.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY else kept
 
-# A vocabulary becomes columns, so it has to fit a schema. Past this many names
-# the job stops and says so, as a pivot without listed values would.
-MAX_VOCABULARY = 10_000
+
+def vocab_semi_join(exploded: DataFrame, names: DataFrame, key: str = "attribute") -> DataFrame:
+    """Attribute rows that are in the vocabulary."""
+    return exploded.join(_small_side(names), key, "left_semi")
+
+
+def vocab_anti_join(exploded: DataFrame, names: DataFrame, key: str = "attribute") -> DataFrame:
+    """Attribute rows that are not in the vocabulary."""
+    return exploded.join(_small_side(names), key, "left_anti")
 
 
 def vocabulary(counts: DataFrame, at_least: int = S.MIN_ATTRIBUTE_COUNT) -> list[str]:

@@ -84,6 +84,25 @@ def test_attributes(spark):
     assert hot == {1: (1, 0), 2: (0, 1), 3: (0, 0), 4: (0, 0)}
 
 
+@pytest.mark.parametrize("bound", [10_000, 1])
+def test_vocabulary_joins_broadcast_or_not(spark, monkeypatch, bound):
+    monkeypatch.setattr(A, "MAX_VOCABULARY", bound)
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "c")], "id int, attribute string")
+    names = spark.createDataFrame([("a",), ("c",)], "attribute string")
+    inside = A.vocab_semi_join(rows, names)
+    assert sorted((r["id"], r["attribute"]) for r in inside.collect()) == [(1, "a"), (2, "a"), (3, "c")]
+    assert [(r["id"], r["attribute"]) for r in A.vocab_anti_join(rows, names).collect()] == [(1, "b")]
+    text = inside._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in text.split("== Initial Plan ==")[-1]) == (bound > 2)
+
+
+def test_too_many_names_stop_the_job(spark, monkeypatch):
+    monkeypatch.setattr(A, "MAX_VOCABULARY", 1)
+    counts = spark.createDataFrame([("a", 5), ("b", 4)], "attribute string, count bigint")
+    with pytest.raises(ValueError, match="columns"):
+        A.vocabulary(counts)
+
+
 def test_fee_row_is_there_without_fees(spark):
     df = spark.createDataFrame([(["a"],)], "attributes array<string>")
     folded = A.collapse_fee_group(A.attribute_counts(df))
