@@ -1,7 +1,58 @@
-"""Placeholder until all stages are in place."""
-STAGES = []
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Each stage is a function of (spark, docs, sf_dir); its result is written as
+Parquet and read again as the next stage's documents. All but the last return
+the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from hearthline.llm import jaccard_join, line_dedup, mixing, packing, toxicity
+from hearthline.llm.common import cut, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model rejects go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more go; ``n_chars`` follows the text."""
+    return line_dedup.rewrite(docs)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five words, 0.8)."""
+    return jaccard_join.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.take(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens; a repeated document is packed again."""
+    return packing.packed_pieces(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_lines),
+    ("n-gram jaccard join", keep_one),
+    ("mixing sources", mix_sources),
+    ("packing", pack),
+]
+
+#: Ordinal regression and token ids are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over all documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

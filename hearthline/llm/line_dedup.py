@@ -89,6 +89,19 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     return apply_bitmaps(docs, keep_bitmaps(docs, id, text, **options), id, text)
 
 
+def rewrite(docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str = "n_chars", **options) -> DataFrame:
+    """``docs`` in its own columns, with the text of the lines kept and its length.
+
+    A text that loses nothing stays as it is, also if it is null."""
+    names = [free_name(docs.columns, n) for n in ("_kept", "_lines", "_dropped")]
+    kept, lines, dropped = names
+    out = apply_bitmaps(docs, keep_bitmaps(docs, id, text, **options), id, text, kept, lines, dropped)
+    changed = {text: F.when(F.col(dropped) > 0, F.col(kept)).otherwise(F.col(text))}
+    if chars in docs.columns:
+        changed[chars] = F.when(F.col(dropped) > 0, F.length(kept).cast(docs.schema[chars].dataType)).otherwise(F.col(chars))
+    return out.withColumns(changed).select(*docs.columns)
+
+
 def line_digest(docs: DataFrame) -> DataFrame:
     """The digest of every document's kept text."""
     out = drop_repeated_lines(docs.select("doc_id", "text"), min_docs=10, min_chars=1)

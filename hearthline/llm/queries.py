@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthline.llm import line_dedup, mixing
+from hearthline.llm import jaccard_join, line_dedup, mixing, packing, toxicity
 from hearthline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,11 @@ def _over(run: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_jaccard_join": _over(jaccard_join.shingle_components, "documents"),
+    "op5_toxicity": _over(toxicity.graded, "documents", "labels"),
     "op8_line_dedup": _over(line_dedup.line_digest, "documents"),
     "op9_mixing": _over(mixing.mixture, "documents"),
+    "op10_packing": _over(packing.packed_pieces, "documents"),
 }
 
 SQL: dict[str, str] = {

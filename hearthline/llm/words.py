@@ -82,12 +82,18 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same for capitals A-Z and small letters."""
+        return self.prefix_hashes(())[0]
+
+    def prefix_hashes(self, limits: tuple[int, ...]) -> list[np.ndarray]:
+        """Hashes of the words, then of their first bytes for each limit."""
         if not len(self.starts):
-            return np.zeros(0, np.uint64)
+            return [np.zeros(0, np.uint64)] * (1 + len(limits))
         n = len(self.data)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[self.data] * _UP(n), out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * _DOWN(n)[self.starts])
+        before, factor = sums[self.starts], _DOWN(n)[self.starts]
+        ends = [self.ends, *(np.minimum(self.ends, self.starts + limit) for limit in limits)]
+        return [mix((sums[end] - before) * factor) for end in ends]
 
 
 def find_words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> Words:
