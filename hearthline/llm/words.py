@@ -23,7 +23,7 @@ PLAIN = np.array([b not in WHITE for b in range(256)])
 #: Digits, letters and whatever is not ASCII are in a word.
 ALPHANUMERIC = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -43,7 +43,7 @@ def mix_int(x: int) -> int:
 
 
 #: A 64-bit value for each byte, with capitals A-Z valued as small letters.
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))[_LOWER]
+_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))[LOWER]
 
 
 class _Powers:
