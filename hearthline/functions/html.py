@@ -1,7 +1,8 @@
 """Reading fields out of page HTML with built-in expressions.
 
-Pages are matched with regular expressions, never parsed row by row in Python,
-so the work stays in the JVM and a page's text is not copied to a worker.
+A page is cut where tags of the wanted name begin, and the depth is counted
+along the pieces, so elements may be nested to any depth. The work stays in the
+JVM and a page's text is not copied to a worker.
 """
 
 from __future__ import annotations
@@ -20,10 +21,24 @@ _HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 _PIECES = rf"(?s){_REFERENCE}|[^&]+|&"
 
-# Entity names come from the standard library's table; those that HTML also
-# accepts without the closing semicolon are listed there without one.
-_NAMED = {f"&{name};": chr(code) for name, code in html.entities.name2codepoint.items()}
-_NAMED |= {f"&{name}": text for name, text in html.entities.html5.items() if not name.endswith(";")}
+# The standard's character references as one text, so that a plan holds a single
+# literal: mark, name, mark, characters. Names that are also accepted without
+# the closing semicolon are in it both ways. Numbers 128 to 159 stand for the
+# characters that Windows-1252 has there.
+_BEFORE, _AFTER = "\x01", "\x02"
+
+
+def _replaced_numbers() -> dict[str, str]:
+    found = {"#0": "\ufffd", "#13": "\r"}
+    for n in range(128, 160):
+        text = bytes([n]).decode("cp1252", "ignore")
+        found[f"#{n}"] = text or chr(n)
+    return found
+
+
+_KNOWN = html.entities.html5 | _replaced_numbers()
+_TABLE = "".join(f"{_BEFORE}{name}{_AFTER}{text}" for name, text in _KNOWN.items()) + _BEFORE
+_SHORT = max(len(name) for name in html.entities.html5 if not name.endswith(";"))
 
 
 def visible(page: Column) -> Column:
@@ -31,25 +46,50 @@ def visible(page: Column) -> Column:
     return F.regexp_replace(page, _HIDDEN, "")
 
 
-def _decode_reference(piece: Column) -> Column:
-    digits = F.regexp_extract(piece, r"^&#([0-9]{1,7});?$", 1)
-    hexa = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,6});?$", 1)
-    code = F.when(digits != "", F.conv(digits, 10, 16)).when(hexa != "", hexa)
-    number = F.conv(code, 16, 10).cast("bigint")
-    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+def _look_up(name: Column) -> Column:
+    """The characters of a reference's name, null if there is no such name."""
+    after = F.split_part(F.lit(_TABLE), F.concat(F.lit(_BEFORE), name, F.lit(_AFTER)), F.lit(2))
+    return F.nullif(F.split_part(after, F.lit(_BEFORE), F.lit(1)), F.lit(""))
+
+
+def _decode_number(piece: Column) -> Column:
+    """``&#233;`` or ``&#xE9;``, null for anything else."""
+    digits = F.regexp_extract(piece, r"^&#0*([0-9]+);?$", 1)
+    hexa = F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]+);?$", 1)
+    # More digits than the last character has: out of range all the same.
+    short = F.when(F.length(digits) > 7, F.lit("FFFFFF")).when(digits != "", F.conv(digits, 10, 16))
+    short = short.when(F.length(hexa) > 6, F.lit("FFFFFF")).when(hexa != "", hexa)
+    number = F.conv(short, 16, 10).cast("bigint")
+    unusable = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    no_character = (
+        number.between(1, 8) | (number == 11) | number.between(14, 31) | number.between(127, 159) | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
     return F.coalesce(
-        F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")),
-        F.try_element_at(names, piece),
-        piece,
+        _look_up(F.concat(F.lit("#"), number.cast("string"))),
+        F.when(unusable, F.lit("\ufffd")).when(no_character, F.lit("")),
+        F.decode(F.unhex(F.lpad(F.conv(number, 10, 16), 8, "0")), "UTF-32"),
     )
 
 
+def _decode_name(piece: Column) -> Column:
+    """``&eacute;``: the whole name, else the longest beginning that is a name."""
+    name = F.substring(piece, 2, 1 << 30)
+    shorter = [
+        F.when(F.length(name) > n, F.concat(_look_up(F.substring(name, 1, n)), F.substring(name, n + 1, 1 << 30)))
+        for n in range(_SHORT, 1, -1)
+    ]
+    return F.coalesce(_look_up(name), *shorter)
+
+
+def _decode_reference(piece: Column) -> Column:
+    reference = piece.startswith("&") & (F.length(piece) > 1)
+    decoded = F.when(piece.startswith("&#"), _decode_number(piece)).otherwise(_decode_name(piece))
+    return F.when(reference, F.coalesce(decoded, piece)).otherwise(piece)
+
+
 def unescape(text: Column) -> Column:
     """Replace character references; texts without one are left untouched."""
-    decoded = F.array_join(
-        F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), _decode_reference), ""
-    )
+    decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), _decode_reference), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
@@ -79,32 +119,89 @@ def _opening(tag: str, attribute: tuple[str, str] | None) -> str:
     return rf"<{tag}\b(?=[^>]*?{_attribute(*attribute)})[^>]*+>"
 
 
-def _content(tag: str, depth: int = 3) -> str:
-    """Content up to the matching end tag, with the same tag nested inside.
+#: Elements without content and end tag; fixed values.
+_VOID = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
+_OTHER, _OPENS, _WANTED, _CLOSES = 0, 1, 2, -1
+
+
+def _tag_pieces(page: Column, tag: str) -> Column:
+    """The page cut before every start and end tag of the name (a pattern)."""
+    return F.split(page, rf"(?i)(?=</?(?:{tag})\b)", -1)
+
+
+def _kinds(pieces: Column, tag: str, wanted: str) -> Column:
+    """What each piece begins with: an end tag, a wanted start tag, another, or none."""
+    return F.transform(
+        pieces,
+        lambda piece: F.when(piece.rlike(rf"(?i)^</(?:{tag})\b"), _CLOSES)
+        .when(piece.rlike(rf"(?is)^{wanted}"), _WANTED)
+        .when(piece.rlike(rf"(?i)^<(?:{tag})\b"), _OPENS)
+        .otherwise(_OTHER),
+    )
 
-    Possessive groups keep the match linear: nothing is tried twice.
+
+def _spans(kinds: Column, direct: bool = False) -> Column:
+    """First and last piece of every outermost wanted element.
+
+    One step a piece: inside an element start tags count up and end tags count
+    down, and at zero the element ends. An element that is not closed reaches
+    to the end. With ``direct`` depth is counted outside of elements as well,
+    and only elements at depth zero are taken.
     """
-    other = rf"[^<]++|<(?!/?{tag}\b)"
-    body = rf"(?:{other})*+"
-    for _ in range(depth):
-        body = rf"(?:{other}|<{tag}\b[^>]*+>{body}</{tag}\s*+>)*+"
-    return body
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("depth"), F.lit(-1).alias("first"), none.alias("spans"))
+
+    def step(state: Column, kind: Column) -> Column:
+        inside = state["first"] >= 0
+        change = F.when(kind > 0, 1).otherwise(kind)
+        begins = ~inside & (kind == _WANTED) & ((state["depth"] == 0) if direct else F.lit(True))
+        outside = F.greatest(state["depth"] + change, F.lit(0)) if direct else F.lit(0)
+        depth = F.when(inside, state["depth"] + change).when(begins, 1).otherwise(outside)
+        ends = inside & (state["depth"] + change <= 0)
+        span = F.struct(state["first"].alias("first"), (state["place"] - 1).alias("last"))
+        return F.struct(
+            (state["place"] + 1).alias("place"),
+            F.when(ends, 0).otherwise(depth).alias("depth"),
+            F.when(begins, state["place"]).when(ends, -1).otherwise(state["first"]).alias("first"),
+            F.when(ends, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
+        )
+
+    def finish(state: Column) -> Column:
+        open_end = F.struct(state["first"].alias("first"), (state["place"] - 1).alias("last"))
+        return F.when(state["first"] >= 0, F.concat(state["spans"], F.array(open_end))).otherwise(state["spans"])
+
+    return F.aggregate(kinds, start, step, finish)
+
+
+def _joined(pieces: Column, span: Column) -> Column:
+    return F.array_join(F.slice(pieces, span["first"] + 1, span["last"] - span["first"] + 1), "")
+
 
+def html_elements(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+    """All such elements, outermost and in page order, without their end tag."""
+
+    def cut(pieces: Column) -> Column:
+        spans = _spans(_kinds(pieces, tag, _opening(tag, attribute)))
+        return F.transform(spans, lambda span: _joined(pieces, span))
 
-def element_pattern(tag: str, attribute: tuple[str, str] | None = None) -> str:
-    """Pattern of a whole element (group 1) and its content (group 2)."""
-    return rf"(?is)({_opening(tag, attribute)}({_content(tag)}))"
+    return F.when(page.isNotNull(), _once(_tag_pieces(page, tag), cut))
 
 
 def html_element(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
-    """The first such element with its tags, null when the page has none.
+    """The first such element with its start tag, null when the page has none."""
+    return F.get(html_elements(page, tag, attribute), F.lit(0))
 
-    A list of matches is asked for, because ``regexp_extract`` cannot tell an
-    absent element from an empty one. The pattern swallows the rest of the
-    page, so the search still ends at the first hit.
-    """
-    first = element_pattern(tag, attribute) + r".*+"
-    return F.get(F.regexp_extract_all(page, F.lit(first), F.lit(1)), F.lit(0))
+
+def html_child(content: Column, tag: str) -> Column:
+    """The first element of the name that lies directly in the content."""
+    # The name itself is left out of the names that only count depth.
+    names = rf"(?!(?:{_VOID})\b)[a-z][a-z0-9]*"
+
+    def cut(pieces: Column) -> Column:
+        spans = _spans(_kinds(pieces, names, _opening(tag, None)), direct=True)
+        return F.transform(F.slice(spans, 1, 1), lambda span: _joined(pieces, span))
+
+    return F.get(_once(_tag_pieces(content, names), cut), F.lit(0))
 
 
 def html_text(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
@@ -137,11 +234,6 @@ def html_housing_split(housing: Column) -> Column:
     return _once(housing, parts)
 
 
-def html_elements(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
-    """All such elements with their tags, in page order."""
-    return F.regexp_extract_all(page, F.lit(element_pattern(tag, attribute)), F.lit(1))
-
-
 def html_attributes(
     page: Column,
     outer: tuple[str, tuple[str, str] | None] = ("div", ("class", "attr")),
@@ -166,8 +258,9 @@ def html_result_links(page: Column, item: tuple[str, tuple[str, str] | None]) ->
 
 def html_postings_count(page: Column) -> Column:
     """Text of the first div directly inside the result counter."""
-    counter = F.regexp_extract(page, element_pattern("div", ("class", "cl-count-save-bar")), 2)
-    return F.coalesce(html_text(counter, "div"), F.lit(S.POSTINGS_COUNT_MISSING))
+    counter = html_element(page, "div", ("class", "cl-count-save-bar"))
+    content = F.regexp_replace(counter, r"^<[^>]*+>", "")
+    return F.coalesce(_once(html_child(content, "div"), plain_text), F.lit(S.POSTINGS_COUNT_MISSING))
 
 
 def page_ready(page: Column, marker: str = "cl-static-search-results") -> Column:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import html as stdlib_html
+import html.entities
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -93,6 +94,41 @@ def test_entities_match_the_standard_library(spark):
     assert got == [stdlib_html.unescape(t) for t in texts]
 
 
+def test_every_standard_reference(spark):
+    names = [*html.entities.html5]
+    texts = [f"a&{name} b" for name in names] + [f"&{name}x1;" for name in names if not name.endswith(";")]
+    texts += [f"&#{n};" for n in (*range(0, 256), 0xD800, 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 10**12)]
+    texts += [f"&#x{n:x}" for n in range(120, 170)] + ["&#x0000000041;", "&#00065", "&notit;", "&apos;", "&dollar;", "&#;", "&#x;", "&"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
+    got = {r["i"]: r["u"] for r in rows.select("i", H.unescape(F.col("t")).alias("u")).collect()}
+    wrong = [(t, got[i]) for i, t in enumerate(texts) if got[i] != stdlib_html.unescape(t)]
+    assert wrong == []
+
+
+def test_any_depth(spark):
+    for depth in (0, 3, 4, 12, 60):
+        inner = "".join(f"{k}<span>" for k in range(depth)) + "x" + "</span>" * depth
+        block = "<div>" * depth + '<span class="valu">cats</span>' + "</div>" * depth
+        page = f'<span id="titletextonly">A{inner}Z</span><div class="attr">{block}</div><div class="attr"><span class="valu">dogs</span></div>'
+        row = extract_fields(frame(spark, page)).first()
+        assert row["Title"] == "A" + "".join(map(str, range(depth))) + "xZ"
+        assert row["attributes"] == ["cats", "dogs"]
+        links = "<li>" + "<li>" * depth + '<a href="/deep">l</a>' + "</li>" * depth + '<a href="/after">m</a></li><a href="/out">n</a>'
+        got = frame(spark, links).select(H.html_result_links(F.col("html"), ("li", None))).first()[0]
+        assert got == ["/deep", "/after"]
+
+
+def test_counter_takes_its_own_child(spark):
+    bars = {
+        "<span><div>wrong</div></span><div>10 postings</div>": "10 postings",
+        "<br><img src=x><div>a <div>b</div> c</div><div>no</div>": "a b c",
+        "<p>text</p>": S.POSTINGS_COUNT_MISSING,
+    }
+    pages = frame(spark, *[f'<div class="cl-count-save-bar">{bar}</div><div>after</div>' for bar in bars], "<div>none</div>")
+    got = [r[0] for r in pages.orderBy("page_id").select(H.html_postings_count(F.col("html"))).collect()]
+    assert got == [*bars.values(), S.POSTINGS_COUNT_MISSING]
+
+
 class _Reference(HTMLParser):
     """Plain reading of a page: first h1 text and the links in list items."""
 
