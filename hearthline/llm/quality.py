@@ -104,9 +104,9 @@ def _context_task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = tokens[:-1][together], tokens[1:][together]
                 waiting.append((np.concatenate([a, b]), np.concatenate([b, a])))
                 held += 2 * len(a)
-        if held >= _COUNTED:
-            count()
-            held = 0
+            if held >= _COUNTED:
+                count()
+                held = 0
     if held:
         count()
     yield array_rows(sums)
