@@ -89,7 +89,7 @@ def page_to_listing(t):
 )
 def page_to_listing_vocabulary(t):
     # No listing is a "house", so that flag gets no column.
-    return page_to_listing_by_vocabulary(t.listing_pages, day=dt.date(2024, 5, 31))
+    return page_to_listing_by_vocabulary(t.listing_pages, 1000, day=dt.date(2024, 5, 31))
 
 
 @query(f'select "id" as page_id, {_BASIC} from {duck(RAW_LISTINGS)}')

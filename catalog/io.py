@@ -16,21 +16,23 @@ from hearthline.sources import readers as R
 from hearthline.sources import writers as W
 
 
-@query("select p_partkey, p_name, p_retailprice from part")
+@query("select p_partkey, '  ' || p_name || chr(9) as p_name, p_retailprice from part")
 def sink_csv_overwrite(t):
+    # White space at the ends has to survive the file.
     path = fresh_dir(t.spark, "sink_csv")
-    rows = t.part.select("p_partkey", "p_name", "p_retailprice")
+    rows = t.part.select("p_partkey", F.concat(F.lit("  "), "p_name", F.lit("\t")).alias("p_name"), "p_retailprice")
     W.sink_csv_overwrite(rows.union(rows), path)
     W.sink_csv_overwrite(rows, path)
     return R.scan_csv(t.spark, path, rows.schema)
 
 
-@query("select s_suppkey, s_name, s_acctbal from supplier")
+@query("select s_suppkey, s_name, s_acctbal, mode from supplier, (values ('baseline'), ('daily')) m(mode)")
 def sink_routed(t):
     targets = {m: fresh_dir(t.spark, f"routed-{m}") for m in R.MODES}
     rows = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
-    written = W.sink_routed(rows, "baseline", targets)
-    return R.scan_csv(t.spark, written, rows.schema)
+    written = [W.sink_routed(rows.withColumn("mode", F.lit(m)), m, targets) for m in R.MODES]
+    one, other = (R.scan_csv(t.spark, path, "s_suppkey bigint, s_name string, s_acctbal double, mode string") for path in written)
+    return one.union(other)
 
 
 @query("select * from orders")
@@ -72,12 +74,14 @@ def _rounded(df):
 
 @query(f"select {_TABLE_SQL} from {duck(LOCATED_LISTINGS)}")
 def append_listings(t):
-    """Loaded twice: the second load of the same days changes nothing."""
+    """Two loads of the same days, the first one loaded twice: nothing is lost or doubled."""
     name = f"listings_{uuid.uuid4().hex}"
     W.create_listing_table(t.spark, name, fresh_dir(t.spark, "listing-table"))
-    W.append_listings(_priced(t), name)
-    W.append_listings(_priced(t), name)
-    return _rounded(t.spark.table(name))
+    morning = F.col("id") % 3 == 0
+    W.append_listings(_priced(t).filter(morning), name, "morning")
+    W.append_listings(_priced(t).filter(~morning), name, "evening")
+    W.append_listings(_priced(t).filter(morning), name, "morning")
+    return _rounded(t.spark.table(name).drop("load_id"))
 
 
 @query(f"""select date_added, count(*) as listings, count(price) as priced, sum(furnished::int)::bigint as furnished
@@ -88,7 +92,7 @@ def create_listing_table(t):
     W.create_listing_table(t.spark, name, location)
     # Creating it again keeps the table that is there.
     W.create_listing_table(t.spark, name, location)
-    W.append_listings(_priced(t), name)
+    W.append_listings(_priced(t), name, "all")
     return (
         t.spark.table(name)
         .groupBy("date_added")

@@ -31,13 +31,16 @@ def standardize(t):
     return scaled.select("id", *[near(c, 6) for c in S.STANDARDIZED])
 
 
-def _bucket(key: str) -> str:
-    return f"('0x' || substr(md5(({key})::varchar), 1, 8))::bigint % 100"
+def _below(key: str, share: float) -> str:
+    """Whether the hash of a key lies in the first part of its range."""
+    return f"('0x' || substr(md5(coalesce(({key})::varchar, '')), 1, 13))::bigint::double < {share} * pow(16.0::double, 13)"
 
 
-@query(f"select o_orderkey, case when {_bucket('o_orderkey')} < 20 then 'test' else 'train' end as part from orders")
+@query(f"select o_orderkey, case when {_below("nullif(o_orderkey % 50, 7)", 0.125)} then 'test' else 'train' end as part from orders")
 def train_test_split(t):
-    train, test = M.train_test_split(t.orders.select("o_orderkey"), "o_orderkey")
+    # Some rows without a key, and a share that is no whole percent.
+    keyed = t.orders.select("o_orderkey", F.nullif(F.col("o_orderkey") % 50, F.lit(7)).alias("key"))
+    train, test = (part.drop("key") for part in M.train_test_split(keyed, "key", 0.125))
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
@@ -53,8 +56,8 @@ def train_test_split_exact(t):
 # Line items: price by quantity and discount, split by a key of order and line.
 _FEATURES = ["l_quantity", "l_discount"]
 _KEYED = "select *, l_orderkey * 10 + l_linenumber as line_key from lineitem"
-_TRAIN = f"select * from ({_KEYED}) where {_bucket('line_key')} >= 20"
-_TEST = f"select * from ({_KEYED}) where {_bucket('line_key')} < 20"
+_TRAIN = f"select * from ({_KEYED}) where not ({_below('line_key', 0.2)})"
+_TEST = f"select * from ({_KEYED}) where {_below('line_key', 0.2)}"
 # Least squares for two features in closed form.
 _OLS = f"""with train as ({_TRAIN}), test as ({_TEST}), m as (
     select covar_pop(l_extendedprice, l_quantity) as ya, covar_pop(l_extendedprice, l_discount) as yb,

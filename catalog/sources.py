@@ -30,7 +30,7 @@ def scan_csv(t):
     W.sink_csv_overwrite(
         t.customer.withColumns({"c_name": awkward, "c_mktsegment": F.nullif("c_mktsegment", F.lit("BUILDING"))}), path
     )
-    return R.scan_csv(t.spark, path, _CUSTOMERS)
+    return R.scan_csv(t.spark, path, _CUSTOMERS, multi_line=True)
 
 
 @query(
@@ -44,13 +44,15 @@ def scan_csv_strings(t):
     return text.withColumn("doubled", F.col("p_size").cast("int") * 2)
 
 
-@query("select o_orderkey, o_orderstatus, 'daily' as loaded from orders")
+@query("select o_orderkey, o_orderstatus, loaded from orders, (values ('baseline'), ('daily')) m(loaded)")
 def choose_source(t):
     rows = t.orders.select("o_orderkey", "o_orderstatus")
     baseline, daily = fresh_dir(t.spark, "baseline"), fresh_dir(t.spark, "daily")
     W.sink_csv_overwrite(rows.withColumn("loaded", F.lit("baseline")), baseline)
     W.sink_csv_overwrite(rows.withColumn("loaded", F.lit("daily")), daily)
-    return R.choose_source(t.spark, "daily", baseline, daily, "o_orderkey bigint, o_orderstatus string, loaded string")
+    schema = "o_orderkey bigint, o_orderstatus string, loaded string"
+    one, other = (R.choose_source(t.spark, mode, baseline, daily, schema) for mode in R.MODES)
+    return one.union(other)
 
 
 @query('select url as "URL" from pages')
@@ -107,7 +109,7 @@ def incremental_files(t):
     stream_schema = rows.schema
     late = F.col("date_added") >= "1997-01-01"
     for part in (rows.filter(~late), rows.filter(late)):
-        part.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+        part.write.mode("append").options(**W.CSV_WRITE).csv(folder)
         load_available(new_files(spark, folder, stream_schema), target, checkpoint)
     return spark.read.parquet(target).drop("load_id")
 

@@ -76,9 +76,9 @@ select o_orderkey as "id",
   cast(o_orderdate as date) as "date_added"
 from {{orders}}"""
 
-LOCATED_LISTINGS = f"""
-select r.*, {_COORDINATES}, {", ".join(_nearest_column(t) for t in S.TIERS)}
-from ({RAW_LISTINGS}) r join {{orders}} o on r."id" = o.o_orderkey"""
+LOCATED_LISTINGS = RAW_LISTINGS.replace(
+    "\nfrom {orders}", f",\n{_COORDINATES}, {', '.join(_nearest_column(t) for t in S.TIERS)}\nfrom {{orders}}"
+)
 
 # Cleaned listings with typed columns under their clean names.
 LISTINGS = f"""

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from hearthline import schema as S
 from hearthline.functions.text import is_fee
 from hearthline.operators.projection import frame_from_rows
-from hearthline.session import ensure_checkpoints
 
 
 def attribute_rows(df: DataFrame, attributes: str = "attributes", keep: Sequence[str] = ()) -> DataFrame:
@@ -59,37 +58,28 @@ def regex_fee_filter(df: DataFrame, attribute: str = "attribute") -> DataFrame:
     return df.filter(is_fee(F.col(attribute)))
 
 
-# A vocabulary becomes columns, so it has to fit a schema. Past this many names
-# the job stops and says so, as a pivot without listed values would.
-MAX_VOCABULARY = 10_000
-
-
-def _small_side(names: DataFrame) -> DataFrame:
-    """A name list, kept and broadcast if it is counted to be short.
+def vocab_semi_join(exploded: DataFrame, names: DataFrame, key: str = "attribute") -> DataFrame:
+    """Attribute rows that are in the vocabulary.
 
-    Attribute rows are many and a few attributes make up most of them, so they
-    should not be shuffled by name. A longer list is joined by shuffle, where
-    the adaptive skew join splits the frequent names.
+    Whether the names are broadcast is left to adaptive execution, which knows
+    their size; past that it splits the frequent names.
     """
-    ensure_checkpoints(names.sparkSession)
-    kept = names.checkpoint()
-    return F.broadcast(kept) if kept.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY else kept
-
-
-def vocab_semi_join(exploded: DataFrame, names: DataFrame, key: str = "attribute") -> DataFrame:
-    """Attribute rows that are in the vocabulary."""
-    return exploded.join(_small_side(names), key, "left_semi")
+    return exploded.join(names, key, "left_semi")
 
 
 def vocab_anti_join(exploded: DataFrame, names: DataFrame, key: str = "attribute") -> DataFrame:
     """Attribute rows that are not in the vocabulary."""
-    return exploded.join(_small_side(names), key, "left_anti")
+    return exploded.join(names, key, "left_anti")
 
 
-def vocabulary(counts: DataFrame, at_least: int = S.MIN_ATTRIBUTE_COUNT) -> list[str]:
-    """Names of the attributes frequent enough to become columns, most frequent first."""
-    kept = min_count_filter(counts, at_least).orderBy(F.desc("count"), "attribute").limit(MAX_VOCABULARY + 1)
+def vocabulary(counts: DataFrame, most: int, at_least: int = S.MIN_ATTRIBUTE_COUNT) -> list[str]:
+    """Names of the attributes frequent enough to become columns, most frequent first.
+
+    They have to fit a schema, so the caller says how many columns there may be
+    at ``most``; with more the job stops and says so.
+    """
+    kept = min_count_filter(counts, at_least).orderBy(F.desc("count"), "attribute").limit(most + 1)
     names = [row.attribute for row in kept.select("attribute").collect()]
-    if len(names) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} attributes would become columns; raise the minimum count")
+    if len(names) > most:
+        raise ValueError(f"more than {most} attributes would become columns; raise the minimum count")
     return names

@@ -24,6 +24,8 @@ BOOSTING_ROUNDS = 100
 LEARNING_RATE = 0.1
 BOOSTING_DEPTH = 3
 TEST_SHARE = 0.2
+#: Quantiles that a continuous feature may be split at.
+BINS = 256
 
 
 def standardize(df: DataFrame, columns: Sequence[str] = tuple(S.STANDARDIZED), fit_on: DataFrame | None = None) -> DataFrame:
@@ -48,14 +50,12 @@ def standardize(df: DataFrame, columns: Sequence[str] = tuple(S.STANDARDIZED), f
     )
 
 
-def split_bucket(key: Column) -> Column:
-    """0..99 from a hash of the key: the same for a row in every run."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % 100
-
-
 def _split_hash(key: Column) -> Column:
-    # 13 hex digits: every value is exact as a double.
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 13), 16, 10).cast("double")
+    """0 to 16**13 from a hash of the key, exact as a double and the same in every run.
+
+    Rows without a key share one hash, so they stay together in one part.
+    """
+    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double")
 
 
 def train_test_split(
@@ -67,7 +67,7 @@ def train_test_split(
     is looked up, and rows below it are the test part.
     """
     if not exact:
-        held_out = split_bucket(quoted(key)) < round(test_share * 100)
+        held_out = _split_hash(quoted(key)) < test_share * 16.0**13
         return df.filter(~held_out), df.filter(held_out)
     hashed = df.withColumn("_hash", _split_hash(quoted(key)))
     rows = hashed.count()
@@ -84,8 +84,8 @@ def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> Pipe
     """Assemble the features and fit.
 
     Least squares reads the train part once. Trees read it once per level or
-    round, so for them it is spread evenly over the cores first and kept in
-    executor memory, spilling to disk; a lost copy is recomputed.
+    round, so for them it is kept in executor memory, spilling to disk, in the
+    partitions it comes in; a lost copy is recomputed.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     pipeline = Pipeline(stages=[assembler, estimator])
@@ -93,7 +93,7 @@ def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> Pipe
         return pipeline.fit(train)
     # Fitting cuts its lineage every few rounds if there is a folder for it.
     ensure_checkpoints(train.sparkSession)
-    kept = train.repartition(train.sparkSession.sparkContext.defaultParallelism).persist()
+    kept = train.persist()
     try:
         return pipeline.fit(kept)
     finally:
@@ -106,7 +106,7 @@ def linear_regression(label: str = "price") -> LinearRegression:
 
 
 def random_forest(
-    label: str = "price", depth: int = 30, trees: int = TREES, bins: int = 64
+    label: str = "price", depth: int = 30, trees: int = TREES, bins: int = BINS
 ) -> RandomForestRegressor:
     """Forest over all features, grown until leaves are pure.
 

@@ -26,22 +26,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def flag_distribution(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """(flag, value, label, count) for every value a flag takes, 1 before 0.
+    """(flag, value, label, count) for every non-null value a flag takes.
 
-    All flags are counted in one aggregate row, which is then laid out.
+    All flags are counted in one aggregate: each row becomes one entry a flag,
+    and entries combine before the shuffle, a row for each value and flag.
     """
-    counted = [
-        F.count_if(quoted(f) == value).alias(f"c{i}_{value}") for i, f in enumerate(flags) for value in (1, 0)
-    ]
-    rows = F.array(
-        *[
-            F.struct(F.lit(f).alias("flag"), F.lit(value).alias("value"), F.col(f"c{i}_{value}").alias("count"))
-            for i, f in enumerate(flags)
-            for value in (1, 0)
-        ]
-    )
-    laid_out = df.agg(*counted).select(F.inline(rows)).filter(F.col("count") > 0)
-    return laid_out.select("flag", "value", flag_label(F.col("value")).alias("label"), "count")
+    entries = F.array(*[F.struct(F.lit(f).alias("flag"), quoted(f).cast("int").alias("value")) for f in flags])
+    counted = df.select(F.inline(entries)).filter(F.col("value").isNotNull()).groupBy("flag", "value").agg(F.count("*").alias("count"))
+    return counted.select("flag", "value", flag_label(F.col("value")).alias("label"), "count")
 
 
 def flag_cardinality(df: DataFrame, flags: Sequence[str]) -> DataFrame:

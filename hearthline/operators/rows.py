@@ -22,17 +22,17 @@ def has_duplicates(df: DataFrame) -> DataFrame:
 
 
 def dedup_by_url(pages: DataFrame, url: str = "url", order: str = "page_id") -> DataFrame:
-    """One document per URL, the one fetched last.
+    """One row per URL, the one fetched last; a null URL is a URL of its own.
 
-    The last fetch is found on (url, order) alone, with map-side combine, so a
-    URL with very many copies never gathers its documents in one task. Only
-    winners keep their text. Rows equal in URL and order merge into one.
+    A row without an order counts as the earliest. The last fetch is found by
+    one aggregate with map-side combine, so a URL with very many copies never
+    gathers its rows in one task; rows equal in URL and order merge into one.
+    Give it narrow rows: whatever columns there are travel with the winners.
     """
-    last = pages.groupBy(url).agg(F.max(order).alias(order))
-    winners = pages.join(last, [url, order], "left_semi")
     rest = [c for c in pages.columns if c not in (url, order)]
-    one = winners.groupBy(url, order).agg(F.max(F.struct(*[quoted(c) for c in rest])).alias("_rest"))
-    return one.select(url, order, "_rest.*").select(*pages.columns)
+    # Nulls come first in the order of structs, so any order is later than none.
+    last = F.max(F.struct(quoted(order), *[quoted(c) for c in rest])).alias("_last")
+    return pages.groupBy(quoted(url)).agg(last).select(url, "_last.*").select(*[quoted(c) for c in pages.columns])
 
 
 def sort_by_date(df: DataFrame, date: str = "date_added", tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from hearthline.functions.text import money_parse, square_feet_parse
 from hearthline.operators import filters, lookup, nearest, projection, rows
 from hearthline.plans.listing_pages import page_to_listing
 from hearthline.session import ensure_checkpoints
-from hearthline.sources.writers import append_listings
+from hearthline.sources.writers import append_listings, create_listing_table
 
 
 def locate(raw: DataFrame, geocode: DataFrame, stores: DataFrame) -> DataFrame:
@@ -44,13 +44,23 @@ def daily_listings(
 ) -> DataFrame:
     """All steps from pages on; the daily load keeps unlisted addresses.
 
-    The raw listings are kept in the shared folder: a long store list makes the
-    nearest-store search read them twice, and pages should be read once.
+    Fields are read where a page is scanned, and only the narrow listing rows
+    are deduplicated by URL, so page text is never shuffled. The raw listings
+    are kept in the shared folder, as the store search reads them twice.
     """
     ensure_checkpoints(pages.sparkSession)
-    raw = page_to_listing(rows.dedup_by_url(pages), day=day).checkpoint()
+    listed = page_to_listing(pages, day=day, keep=("url", "page_id"))
+    raw = rows.dedup_by_url(listed).drop("url", "page_id").checkpoint()
     return ready(clean(locate(raw, geocode, stores)), keep_unlisted)
 
 
-def load_day(pages: DataFrame, geocode: DataFrame, stores: DataFrame, day: dt.date, table: str) -> None:
-    append_listings(daily_listings(pages, geocode, stores, day), table)
+def load_day(
+    pages: DataFrame, geocode: DataFrame, stores: DataFrame, day: dt.date, table: str, load_id: str | None = None
+) -> None:
+    """Load a batch of pages of one day; makes the table if it is not there.
+
+    ``load_id`` names the batch: another batch of the same day adds to it, the
+    same one again replaces itself. A day that comes in one batch needs none.
+    """
+    create_listing_table(pages.sparkSession, table)
+    append_listings(daily_listings(pages, geocode, stores, day), table, load_id or day.isoformat())

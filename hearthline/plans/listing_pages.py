@@ -61,34 +61,42 @@ def cleaned_counts(fields: DataFrame) -> DataFrame:
     return A.collapse_fee_group(A.attribute_counts(fields))
 
 
-def encode_listings(fields: DataFrame, flags: Sequence[str], day: dt.date | None = None) -> DataFrame:
-    """Extracted fields to raw listing rows with one 0/1 column per flag name."""
+def encode_listings(
+    fields: DataFrame, flags: Sequence[str], day: dt.date | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Extracted fields to raw listing rows with one 0/1 column per flag name.
+
+    ``keep`` names columns of the pages that stay in front of them.
+    """
     names = [*flags] if S.FEE_ATTRIBUTE in flags else [*flags, S.FEE_ATTRIBUTE]
     separated = A.fee_flag_per_listing(fields)
     encoded = multi_hot_encode(separated, "attributes", [n for n in names if n != S.FEE_ATTRIBUTE])
     flagged = encoded.withColumnRenamed("fee_needed", S.FEE_ATTRIBUTE)
-    return master_schema_project(add_ingest_date(flagged, day), S.BASIC_COLUMNS + names + ["date_added"])
+    return master_schema_project(add_ingest_date(flagged, day), [*keep, *S.BASIC_COLUMNS, *names, "date_added"])
 
 
-def page_to_listing(pages: DataFrame, at: Selectors = Selectors(), day: dt.date | None = None) -> DataFrame:
+def page_to_listing(
+    pages: DataFrame, at: Selectors = Selectors(), day: dt.date | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """One raw listing row per page with the fixed master flags.
 
     A projection from start to end: pages never leave their task.
     """
-    return encode_listings(extract_fields(pages, at), S.RAW_FLAGS, day)
+    return encode_listings(extract_fields(pages, at), S.RAW_FLAGS, day, keep)
 
 
 def page_to_listing_by_vocabulary(
     pages: DataFrame,
+    most: int,
     at: Selectors = Selectors(),
     day: dt.date | None = None,
     at_least: int = S.MIN_ATTRIBUTE_COUNT,
 ) -> DataFrame:
-    """The same with the flags that the pages themselves support.
+    """The same with the flags that the pages themselves support, ``most`` of them.
 
     The vocabulary needs a count over all pages first. The extracted fields are
     kept in the shared folder in between, so every page is read once only.
     """
     ensure_checkpoints(pages.sparkSession)
     fields = extract_fields(pages, at).checkpoint()
-    return encode_listings(fields, A.vocabulary(cleaned_counts(fields), at_least), day)
+    return encode_listings(fields, A.vocabulary(cleaned_counts(fields), most, at_least), day)

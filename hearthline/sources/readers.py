@@ -13,20 +13,20 @@ from hearthline import schema as S
 MODES = ("baseline", "daily")
 
 
-def csv_options(multi_line: bool = True) -> dict[str, str]:
-    """Header, doubled quotes, and quoted line breaks.
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Header, doubled quotes and, on request, quoted line breaks.
 
-    A file with quoted line breaks cannot be split, so one task reads it whole.
-    Bulk exports without them should be read with ``multi_line=False``.
+    A file with quoted line breaks cannot be split, so one task reads it whole;
+    without them a large file is read by many.
     """
     return {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     return spark.read.schema(schema).options(**csv_options(multi_line)).csv(path)
 
 
-def scan_csv_strings(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
+def scan_csv_strings(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
     """Every column as text; typing is left to the projection that follows."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return scan_csv(spark, path, schema, multi_line)
@@ -34,11 +34,11 @@ def scan_csv_strings(spark: SparkSession, path: str, columns: Sequence[str], mul
 
 def scan_links(spark: SparkSession, path: str, column: str = "URL") -> DataFrame:
     """The URL list stays a frame; it is never turned into a driver list."""
-    return scan_csv(spark, path, f"`{column}` string", multi_line=False)
+    return scan_csv(spark, path, f"`{column}` string")
 
 
 def choose_source(
-    spark: SparkSession, mode: str, baseline: str, daily: str, schema: T.StructType | str, multi_line: bool = True
+    spark: SparkSession, mode: str, baseline: str, daily: str, schema: T.StructType | str, multi_line: bool = False
 ) -> DataFrame:
     """The baseline or the daily file, with the same schema in both modes."""
     if mode not in MODES:

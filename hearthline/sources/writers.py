@@ -14,9 +14,16 @@ from hearthline.operators.projection import quoted
 from hearthline.sources.readers import MODES
 
 
+#: Spark trims values on write unless told otherwise.
+CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def sink_csv_overwrite(df: DataFrame, path: str) -> None:
-    """Replace a CSV folder: header, doubled quotes, one file per task."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Replace a CSV folder: header, doubled quotes, one file per task.
+
+    Values are written as they are, with white space at their ends.
+    """
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def sink_path(df: DataFrame, path: str, file_format: str = "parquet") -> None:
@@ -33,10 +40,11 @@ def sink_routed(df: DataFrame, mode: str, targets: Mapping[str, str]) -> str:
 
 
 def create_listing_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """The listing table if it is not there yet: Parquet, one partition a day."""
+    """The listing table if it is not there yet: Parquet, a partition for each load of a day."""
     columns = ",\n".join(f"  `{f.name}` {f.dataType.simpleString()}" for f in S.LISTING_TABLE.fields)
     at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n{columns}\n) USING parquet PARTITIONED BY (date_added){at}")
+    columns += ",\n  `load_id` string"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n{columns}\n) USING parquet PARTITIONED BY (date_added, load_id){at}")
 
 
 def _to_type(name: str, have: T.DataType, want: T.DataType) -> Column:
@@ -65,14 +73,15 @@ def to_listing_table(df: DataFrame) -> DataFrame:
     )
 
 
-def append_listings(df: DataFrame, table: str) -> None:
-    """Load the days that ``df`` holds, replacing those days if already there.
+def append_listings(df: DataFrame, table: str, load_id: str) -> None:
+    """Add one load; the same load again replaces what it wrote before.
 
-    A rerun of a day therefore leaves the same table. Rows are rebalanced by
-    day before writing: small days share files, and a day with very many rows
-    is split over several writers by the adaptive rebalance.
+    Days hold the rows of all their loads, so a second batch of a day adds to
+    the first, and a rerun under the same ``load_id`` leaves the same table.
+    Rows are rebalanced by day before writing: small days share files, and a
+    day with very many rows is split over several writers.
     """
-    order = df.sparkSession.table(table).columns
-    rows = to_listing_table(df).select(*[quoted(c) for c in order])
+    columns = df.sparkSession.table(table).columns
+    rows = to_listing_table(df).withColumn("load_id", F.lit(load_id)).select(*[quoted(c) for c in columns])
     balanced = rows.hint("rebalance", F.col("date_added"))
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)

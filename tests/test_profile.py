@@ -71,8 +71,9 @@ def test_value_counts_leave_out_nulls(spark):
 
 def test_flags(spark):
     df = frame(spark, {"p": [1, 0, 1], "q": [1, 1, 1]}, "int")
-    rows = [(r["flag"], r["value"], r["label"], r["count"]) for r in P.flag_distribution(df, ["p", "q"]).collect()]
-    assert rows == [("p", 1, "Yes", 2), ("p", 0, "No", 1), ("q", 1, "Yes", 3)]
+    odd = frame(spark, {"p": [1, 0, 1, 2, None], "q": [1, 1, 1, None, None]}, "int")
+    rows = [(r["flag"], r["value"], r["label"], r["count"]) for r in P.flag_distribution(odd, ["p", "q"]).collect()]
+    assert sorted(rows) == [("p", 0, "No", 1), ("p", 1, "Yes", 2), ("p", 2, None, 1), ("q", 1, "Yes", 3)]
     assert [tuple(r) for r in P.flag_cardinality(df, ["p", "q"]).collect()] == [("p", 2), ("q", 1)]
 
 

@@ -9,6 +9,7 @@ from hearthline import schema as S
 from hearthline.operators import attributes as A
 from hearthline.operators import filters as Fi
 from hearthline.operators import lookup as L
+from hearthline.operators import model as M
 from hearthline.operators import projection as P
 from hearthline.operators import rows as R
 from hearthline.plans.history import merge_history
@@ -54,6 +55,21 @@ def test_union_refuses_other_columns(spark):
         R.union_history(left, left.select("b", "a"))
 
 
+def test_dedup_by_url_keeps_rows_without_url_or_order(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("b", None, "z"), (None, 1, "p"), (None, 3, "q"), ("c", None, None), ("c", 0, None)]
+    got = R.dedup_by_url(spark.createDataFrame(rows, "url string, page_id int, html string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", 2, "y"), ("b", None, "z"), (None, 3, "q"), ("c", 0, None)], key=str)
+
+
+def test_split_places_every_row(spark):
+    df = spark.range(20000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("key"), F.col("id"))
+    for share in (0.125, 0.2, 0.001):
+        train, test = M.train_test_split(df, "key", share)
+        assert train.count() + test.count() == 20000
+        held = test.filter("key is not null").count()
+        assert abs(held - 18000 * share) < 4 * (18000 * share) ** 0.5
+
+
 def test_null_flag_fails_the_cast(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "f double")
     assert P.cast_flags_int(df.filter("f is not null"), ["f"]).first()[0] == 1
@@ -84,23 +100,18 @@ def test_attributes(spark):
     assert hot == {1: (1, 0), 2: (0, 1), 3: (0, 0), 4: (0, 0)}
 
 
-@pytest.mark.parametrize("bound", [10_000, 1])
-def test_vocabulary_joins_broadcast_or_not(spark, monkeypatch, bound):
-    monkeypatch.setattr(A, "MAX_VOCABULARY", bound)
+def test_vocabulary_joins(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "c")], "id int, attribute string")
     names = spark.createDataFrame([("a",), ("c",)], "attribute string")
     inside = A.vocab_semi_join(rows, names)
     assert sorted((r["id"], r["attribute"]) for r in inside.collect()) == [(1, "a"), (2, "a"), (3, "c")]
     assert [(r["id"], r["attribute"]) for r in A.vocab_anti_join(rows, names).collect()] == [(1, "b")]
-    text = inside._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in text.split("== Initial Plan ==")[-1]) == (bound > 2)
 
 
-def test_too_many_names_stop_the_job(spark, monkeypatch):
-    monkeypatch.setattr(A, "MAX_VOCABULARY", 1)
+def test_too_many_names_stop_the_job(spark):
     counts = spark.createDataFrame([("a", 5), ("b", 4)], "attribute string, count bigint")
     with pytest.raises(ValueError, match="columns"):
-        A.vocabulary(counts)
+        A.vocabulary(counts, 1)
 
 
 def test_fee_row_is_there_without_fees(spark):
