@@ -136,68 +136,41 @@ def standardize_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _pair_r(x: Column, y: Column) -> Column:
-    """Pearson r over rows that have both values; null for a constant side.
-
-    Not ``corr``: that one divides by zero on a constant column in ANSI mode.
-    """
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
-def correlation_with_target(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    """(feature, r) against one column: n aggregates instead of n squared."""
-    row = df.agg(*[_pair_r(clean_number(f), clean_number(target)).alias(f"r{i}") for i, f in enumerate(features)])
-    return row.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r")) for i, f in enumerate(features)])
-        )
-    )
-
-
 # A variance below this share of the second moment is rounding noise.
 _CONSTANT = 1e-13
 _SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x, y, r) for all ordered pairs; r is null for a constant side.
+def _pair_correlations(df: DataFrame, columns: Sequence[str], targets: int) -> DataFrame:
+    """(i, j, r) for the first ``targets`` columns against each from it on.
 
+    r is Pearson's over rows that have both values, null for a constant side.
     Every task folds its rows into one set of co-moment sums per pair with
-    matrix products, so a task ships a few rows however much it read. Hundreds
-    of pair aggregates in one plan would leave generated code. Values are
-    shifted by the column mean first, which keeps the sums well conditioned.
+    matrix products, so a task ships a few rows however much it read. Many
+    pair aggregates in one plan would leave generated code. Values are shifted
+    by the column mean first, which keeps the sums well conditioned.
     """
-    columns = list(columns)
     means = df.agg(*[F.avg(clean_number(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     centres = np.array([0.0 if m is None else m for m in means])
 
     def co_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = len(centres)
-        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+        n, s, t, q, u, p = (np.zeros((targets, k)) for _ in range(6))
         for batch in batches:
             values = batch.to_numpy(dtype=float)
             known = ~np.isnan(values)
             shifted = np.where(known, values - centres, 0.0)
             mask = known.astype(float)
-            n += mask.T @ mask
-            s += shifted.T @ mask
-            q += (shifted * shifted).T @ mask
-            p += shifted.T @ shifted
-        i, j = np.triu_indices(k)
-        yield pd.DataFrame(
-            {
-                "i": i.astype("int32"),
-                "j": j.astype("int32"),
-                "n": n[i, j],
-                "sx": s[i, j],
-                "sy": s[j, i],
-                "sxx": q[i, j],
-                "syy": q[j, i],
-                "sxy": p[i, j],
-            }
-        )
+            left, held = shifted[:, :targets], mask[:, :targets]
+            n += held.T @ mask
+            s += left.T @ mask
+            t += held.T @ shifted
+            q += (left * left).T @ mask
+            u += held.T @ (shifted * shifted)
+            p += left.T @ shifted
+        i, j = np.triu_indices(targets, 0, k)
+        sums = {"n": n, "sx": s, "sy": t, "sxx": q, "syy": u, "sxy": p}
+        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), **{name: part[i, j] for name, part in sums.items()}})
 
     numbers = df.select(*[clean_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
     sums = (
@@ -210,10 +183,22 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     var_y = c("n") * c("syy") - c("sy") * c("sy")
     varies = (var_x > _CONSTANT * c("n") * c("sxx")) & (var_y > _CONSTANT * c("n") * c("syy"))
     raw = (c("n") * c("sxy") - c("sx") * c("sy")) / (F.sqrt(var_x) * F.sqrt(var_y))
-    r = F.when(varies, F.least(F.greatest(raw, F.lit(-1.0)), F.lit(1.0)))
-    names = F.array(*[F.lit(name) for name in columns])
-    upper = sums.select("i", "j", r.alias("r"))
-    lower = upper.filter("i <> j").select(c("j").alias("i"), c("i").alias("j"), "r")
-    return upper.unionByName(lower).select(
-        F.get(names, c("i")).alias("x"), F.get(names, c("j")).alias("y"), "r"
-    )
+    return sums.select("i", "j", F.when(varies, F.least(F.greatest(raw, F.lit(-1.0)), F.lit(1.0))).alias("r"))
+
+
+def _name(columns: Sequence[str], place: str) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in columns]), F.col(place))
+
+
+def correlation_with_target(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """(feature, r) against one column: one row of the correlation matrix."""
+    pairs = _pair_correlations(df, [target, *features], 1).filter("j > 0")
+    return pairs.select(_name([target, *features], "j").alias("feature"), "r")
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(x, y, r) for all ordered pairs; r is null for a constant side."""
+    upper = _pair_correlations(df, list(columns), len(columns))
+    lower = upper.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r")
+    both = upper.unionByName(lower)
+    return both.select(_name(columns, "i").alias("x"), _name(columns, "j").alias("y"), "r")
