@@ -48,10 +48,22 @@ def batches(run: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]):
 SLICE = 8192
 
 
+def _packed(part: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as they need, after a byte that says how many."""
+    most = max(abs(int(part.min())), abs(int(part.max())))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w - 1))
+    return bytes([width]) + part.astype(f"<i{width}").tobytes()
+
+
+def _unpacked(data: pa.Buffer | bytes) -> np.ndarray:
+    data = memoryview(data)
+    return np.frombuffer(data, f"<i{data[0]}", offset=1).astype(np.int64)
+
+
 def array_rows(counts: np.ndarray) -> pa.RecordBatch:
     """One task's array as rows of pieces; pieces of zeros are left out."""
     parts = [(k, counts[k * SLICE : (k + 1) * SLICE]) for k in range(-(-len(counts) // SLICE))]
-    parts = [(k, part.astype(np.int64).tobytes()) for k, part in parts if part.any()]
+    parts = [(k, _packed(part)) for k, part in parts if part.any()]
     return pa.RecordBatch.from_arrays(
         [pa.array([k for k, _ in parts], pa.int32()), pa.array([v for _, v in parts], pa.binary())],
         names=["slice", "data"],
@@ -62,11 +74,11 @@ def _add_slices(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in stream:
         for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            values = np.frombuffer(data.as_buffer(), np.int64)
+            values = _unpacked(data.as_buffer())
             sums[k] = sums[k] + values if k in sums else values
     if sums:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            [pa.array(list(sums), pa.int32()), pa.array([_packed(v) for v in sums.values()], pa.binary())],
             names=["slice", "data"],
         )
 
@@ -80,11 +92,11 @@ def sum_arrays(rows: DataFrame, length: int) -> np.ndarray:
     """
     slices = -(-length // SLICE)
     # Two rounds: tasks first meet in groups, then all of them.
-    spread = rows.repartition(min(slices, 64), "slice", F.pmod(F.spark_partition_id(), F.lit(8)))
-    once = spread.mapInArrow(_add_slices, "slice int, data binary").repartition(min(slices, 64), "slice")
+    spread = rows.repartition("slice", F.pmod(F.spark_partition_id(), F.lit(8)))
+    once = spread.mapInArrow(_add_slices, "slice int, data binary").repartition("slice")
     total = np.zeros(slices * SLICE, np.int64)
-    for row in once.mapInArrow(_add_slices, "slice int, data binary").toLocalIterator():
-        part = np.frombuffer(bytes(row["data"]), np.int64)
+    for row in once.mapInArrow(_add_slices, "slice int, data binary").collect():
+        part = _unpacked(bytes(row["data"]))
         total[row["slice"] * SLICE : row["slice"] * SLICE + len(part)] += part
     return total[:length]
 

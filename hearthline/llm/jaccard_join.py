@@ -37,8 +37,10 @@ from hearthline.llm.common import array_rows, batches, components, cut, free_nam
 ORDERS = 3
 SKETCH_BITS = 20
 PARITY_WORDS = 16
-#: Rounds of comparing each token's texts with one of them.
-ROUNDS = 2
+#: Entries of the inverted prefixes that are worked on at once.
+_HELD = 1 << 20
+#: Slots of the bitmap of documents whose sets are made again.
+WANTED_BITS = 22
 #: Tokens counted at once.
 _COUNTED = 1 << 20
 
@@ -102,7 +104,9 @@ def _prefixes(tokens: np.ndarray, classes: np.ndarray, percent: int) -> list[np.
         # One number to sort by: the class, then the hash.
         rank = (classes[order][(hashes >> np.uint64(bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (W.mix(hashes) >> np.uint64(8))
         chosen = np.argpartition(rank, wanted - 1)[:wanted] if wanted < len(tokens) else slice(None)
-        out.append(tokens[chosen].view(np.int64))
+        # The first order's tokens are joined on; of the others it is enough to
+        # know that two prefixes may meet, so half of each token is kept.
+        out.append(tokens[chosen].view(np.int64) if order == 0 else (tokens[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32))
     return out
 
 
@@ -120,7 +124,7 @@ def set_name(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-_SETS = "id {id}, n long, name binary, parity array<long>, " + ", ".join(f"prefix{k} array<long>" for k in range(ORDERS))
+_SETS = "id {id}, n long, name binary, parity array<long>, " + ", ".join(f"prefix{k} array<{'long' if k == 0 else 'int'}>" for k in range(ORDERS))
 
 
 def _set_batch(size: int, percent: int, shared: Broadcast, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -128,22 +132,108 @@ def _set_batch(size: int, percent: int, shared: Broadcast, batch: pa.RecordBatch
     longs = pa.list_(pa.int64())
     for place, data, bounds in W.pieces(batch.column(1)):
         sets = W.shingles(W.find_words(data, bounds, W.PLAIN), size)
-        prefixes = [_prefixes(s, classes, percent) if len(s) else [np.zeros(0, np.int64)] * len(classes) for s in sets]
+        prefixes = [_prefixes(s, classes, percent) if len(s) else [[]] * len(classes) for s in sets]
         arrays = [
             batch.column(0)[place],
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([set_name(s) for s in sets], pa.binary()),
             pa.array(_parity(sets), longs),
-            *(pa.array([p[k] for p in prefixes], longs) for k in range(len(classes))),
+            *(pa.array([p[k] for p in prefixes], longs if k == 0 else pa.list_(pa.int32())) for k in range(len(classes))),
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "name", "parity", *(f"prefix{k}" for k in range(len(classes)))])
 
 
-def _token_batch(size: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for place, data, bounds in W.pieces(batch.column(1)):
+def _block_batch(bits: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Prefix tokens with their nodes, packed by range of token."""
+    lists = batch.column(1)
+    nodes = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+    tokens = lists.flatten().to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    tokens, nodes = tokens[order], nodes[order]
+    ranges = tokens >> np.uint64(64 - bits)
+    cuts = np.flatnonzero(np.diff(ranges)) + 1
+    rows = [(int(r[0]), t.tobytes(), n.tobytes()) for r, t, n in zip(*(np.split(a, cuts) for a in (ranges, tokens, nodes)), strict=True) if len(t)]
+    if rows:
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "tokens", "nodes"])
+
+
+class _Meeting:
+    """Entries of one range of tokens; gives those whose token has two nodes or more.
+
+    When many are held, those that have met go out, and one of each token stays
+    as a mark, as do entries that have met nothing yet. So what is held is
+    bounded by the distinct tokens of the range, however common one of them is.
+    """
+
+    def __init__(self):
+        self.tokens, self.nodes, self.marks = [], [], []
+        self.count, self.kept = 0, 0
+
+    def add(self, tokens: np.ndarray, nodes: np.ndarray) -> None:
+        self.tokens.append(tokens)
+        self.nodes.append(nodes)
+        self.marks.append(np.zeros(len(tokens), bool))
+        self.count += len(tokens)
+
+    def met(self) -> tuple[np.ndarray, np.ndarray]:
+        tokens, nodes, marks = (np.concatenate(part) for part in (self.tokens, self.nodes, self.marks))
+        order = np.argsort(tokens, kind="stable")
+        tokens, nodes, marks = tokens[order], nodes[order], marks[order]
+        first = np.ones(len(tokens), bool)
+        first[1:] = tokens[1:] != tokens[:-1]
+        several = np.repeat(np.diff(np.append(np.flatnonzero(first), len(tokens))) > 1, np.diff(np.append(np.flatnonzero(first), len(tokens))))
+        out = several & ~marks
+        self.tokens, self.nodes, self.marks = [tokens[first]], [nodes[first]], [marks[first] | several[first]]
+        self.count = self.kept = int(first.sum())
+        return tokens[out], nodes[out]
+
+
+def _meet_stream(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(meeting: _Meeting) -> Iterator[pa.RecordBatch]:
+        tokens, nodes = meeting.met()
+        if len(tokens):
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(nodes)], names=["token", "node"])
+
+    now, meeting = None, _Meeting()
+    for batch in stream:
+        for place, tokens, nodes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            if place != now and meeting.count:
+                yield from rows(meeting)
+                meeting = _Meeting()
+            now = place
+            meeting.add(np.frombuffer(tokens.as_buffer(), np.uint64), np.frombuffer(nodes.as_buffer(), np.int64))
+            if meeting.count > 2 * meeting.kept + _HELD:
+                yield from rows(meeting)
+    if meeting.count:
+        yield from rows(meeting)
+
+
+def _slots(ids: np.ndarray) -> np.ndarray:
+    return (W.mix(ids.view(np.uint64)) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
+
+
+def _slot_task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    marks = np.zeros(1 << WANTED_BITS, np.int64)
+    for batch in stream:
+        marks[_slots(batch.column(0).to_numpy())] = 1
+    yield array_rows(marks)
+
+
+def wanted_slots(hashes: DataFrame) -> np.ndarray:
+    """A bitmap, of a fixed size, of the slots that the hashes of wanted ids fall into."""
+    marks = sum_arrays(hashes.mapInArrow(_slot_task, "slice int, data binary"), 1 << WANTED_BITS)
+    return np.packbits(marks > 0, bitorder="little")
+
+
+def _token_batch(size: int, shared: Broadcast, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The sets of documents whose id falls into a wanted slot."""
+    slots = _slots(batch.column(0).to_numpy())
+    batch = batch.filter(pa.array((shared.value[slots >> 3] >> (slots & 7)) & 1 == 1))
+    for _, data, bounds in W.pieces(batch.column(1)):
         sets = W.shingles(W.find_words(data, bounds, W.PLAIN), size)
-        arrays = [batch.column(0)[place], pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["id", "name", "tokens"])
+        arrays = [pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["name", "tokens"])
 
 
 def _may_link(percent: int, a: str, b: str) -> Column:
@@ -172,16 +262,18 @@ class _Join:
         self.classes = cut(
             self.rows.where("n > 0").groupBy("name").agg(F.min("row").alias("node"), F.min("id").alias("least_id")), "classes"
         )
+        #: Sets of the nodes compared so far.
+        self.tokens: DataFrame | None = None
         self.nodes = self.rows.join(self.classes.select(F.col("node").alias("row"), "least_id"), "row").withColumnRenamed("row", "node")
 
     def groups(self) -> DataFrame:
-        """(token, node, own) for tokens in the first prefix of two nodes or more;
-        own: how many of the node's prefix tokens no other node has there."""
-        tokens = self.nodes.select("node", F.size("prefix0").alias("all"), F.explode("prefix0").alias("token"))
-        shared = tokens.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1").select("token")
-        groups = cut(tokens.join(shared, "token"), "groups")
-        own = groups.groupBy("node").agg((F.first("all") - F.count("*")).alias("own"))
-        return cut(groups.join(own, "node").select("token", "node", "own"), "groups")
+        """(token, node) for tokens in the first prefix of two nodes or more.
+
+        Entries travel packed, by range of token; ranges have about as many."""
+        entries = self.rows.agg(F.sum(F.size("prefix0"))).first()[0] or 0
+        bits = max(6, math.ceil(math.log2(max(1, entries / _HELD))))
+        packed = self.nodes.select("node", "prefix0").mapInArrow(batches(functools.partial(_block_batch, bits)), "range long, tokens binary, nodes binary")
+        return packed.repartition("range").sortWithinPartitions("range").mapInArrow(_meet_stream, "token long, node long")
 
     def filtered(self, pairs: DataFrame, bounds: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) that pass all bounds and share a prefix token under every order."""
@@ -194,60 +286,66 @@ class _Join:
     def verified(self, candidates: DataFrame) -> DataFrame:
         """The pairs whose sets are similar enough, by comparing the sets.
 
-        Sets are made again from the texts of the documents in the pairs."""
+        Sets are made again from the texts of the documents in the pairs. Those
+        are told by a bitmap, so that no text is shuffled; sets of documents
+        that share a slot with them are made in vain and dropped by name."""
         candidates = cut(candidates, "pairs")
-        ends = [candidates.select(F.col(f"{e}_id").alias("id"), F.col(f"{e}_name").alias("wanted"), F.col(e).alias("node")) for e in "ab"]
+        ends = [candidates.select(F.col(e).alias("node"), F.col(f"{e}_name").alias("wanted"), F.xxhash64(f"{e}_id").alias("id_hash")) for e in "ab"]
         wanted = ends[0].union(ends[1]).distinct()
-        wanted_ids = wanted.select(F.col("id").alias("wanted_id")).distinct()
-        texts = self.docs.join(wanted_ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
-        kind = self.docs.schema["id"].dataType.simpleString()
-        tokens = texts.mapInArrow(batches(functools.partial(_token_batch, self.size)), f"id {kind}, name binary, tokens array<long>")
-        # By name alone: rows that share an id but not a set are told apart.
-        tokens = tokens.join(wanted.select("wanted", "node").distinct(), F.col("name") == F.col("wanted")).select("node", "tokens").dropDuplicates(["node"])
-        tokens = cut(tokens, "tokens")
-        x, y = tokens.alias("x"), tokens.alias("y")
+        if self.tokens is not None:
+            wanted = wanted.join(self.tokens.select("node"), "node", "left_anti")
+        wanted = cut(wanted, "wanted")
+        shared = self.docs.sparkSession.sparkContext.broadcast(wanted_slots(wanted.select("id_hash")))
+        texts = self.docs.select(F.xxhash64("id").alias("id_hash"), "text")
+        found = texts.mapInArrow(batches(functools.partial(_token_batch, self.size, shared)), "name binary, tokens array<long>")
+        found = found.join(wanted.select("node", "wanted"), F.col("name") == F.col("wanted")).select("node", "tokens")
+        found = cut(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "tokens")
+        self.tokens = found if self.tokens is None else self.tokens.union(found)
+        x, y = self.tokens.alias("x"), self.tokens.alias("y")
         both = candidates.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
         common = F.size(F.array_intersect("x.tokens", "y.tokens"))
         return cut(both.where(common * 100 >= (F.col("n") + F.col("m") - common) * self.percent).select("a", "b"), "links")
 
-    def star_pairs(self, groups: DataFrame, turn: int) -> DataFrame:
-        """Every node of a token with one of the token's nodes, unless they are joined already."""
-        first = F.struct("own", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)).alias("own"), "node")
-        centre = groups.groupBy("token").agg(F.min(F.struct(first.alias("by"), "component")).alias("centre"), F.min("component").alias("low"), F.max("component").alias("high"))
-        centre = centre.where("low <> high").select("token", F.col("centre.by.node").alias("other"), F.col("centre.component").alias("joined"))
-        pairs = groups.join(centre, "token").where("component <> joined")
+    def star_pairs(self, groups: DataFrame) -> DataFrame:
+        """Every node of a token with the token's node that has the fewest tokens of its own."""
+        centre = groups.groupBy("token").agg(F.min(F.struct("own", "node", "n")).alias("centre"))
+        centre = centre.select("token", F.col("centre.node").alias("other"), F.col("centre.n").alias("m"))
+        pairs = groups.join(centre, "token").where("node <> other").where(self.sizes("n", "m"))
         return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
+    def sizes(self, n: str, m: str) -> Column:
+        return F.expr(f"{n} * {self.percent} <= {m} * 100 and {m} * {self.percent} <= {n} * 100")
+
     def cross_pairs(self, groups: DataFrame) -> DataFrame:
-        """All pairs of nodes of different components that share a token.
-
-        Components meet per token first, and only those pairs are spelled out,
-        so that a large component costs its size and not its square."""
-        met = groups.groupBy("token", "component").agg(F.count("*").alias("nodes"))
-        several = met.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-        met = met.join(several, "token").select("token", "component")
-        x, y = met.select("token", F.col("component").alias("p")), met.select("token", F.col("component").alias("q"))
-        meetings = x.join(y, "token").where("p < q")
-        left = groups.select("token", F.col("component").alias("p"), F.col("node").alias("u"), F.col("n").alias("un"))
-        right = groups.select("token", F.col("component").alias("q"), F.col("node").alias("v"), F.col("n").alias("vn"))
-        sizes = F.expr(f"un * {self.percent} <= vn * 100 and vn * {self.percent} <= un * 100")
-        pairs = meetings.join(left, ["token", "p"]).join(right, ["token", "q"]).where(sizes)
-        return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+        """All pairs of nodes of different components that share a token, and a few more.
+
+        Components meet per token; each pair of components that meets anywhere
+        is spelled out once, whatever number of tokens it meets in. So a large
+        component costs its size for each that it meets, and never its square."""
+        met = groups.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        x = met.select("token", F.col("component").alias("p"), F.col("low").alias("p_low"), F.col("high").alias("p_high"))
+        y = met.select("token", F.col("component").alias("q"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
+        fits = F.expr(f"p < q and p_low * {self.percent} <= q_high * 100 and q_low * {self.percent} <= p_high * 100")
+        meetings = x.join(y, "token").where(fits).select("p", "q").distinct()
+        members = groups.select("component", "node", "n").distinct()
+        left = members.select(F.col("component").alias("p"), F.col("node").alias("u"), F.col("n").alias("un"))
+        right = members.select(F.col("component").alias("q"), F.col("node").alias("v"), F.col("n").alias("vn"))
+        pairs = meetings.join(left, "p").join(right, "q").where(self.sizes("un", "vn"))
+        return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
 
     def run(self) -> DataFrame:
-        groups = self.groups()
-        bounds = cut(self.nodes.join(groups.select("node").distinct(), "node").select("node", "id", "name", "n", "parity", *(f"prefix{k}" for k in range(1, ORDERS))), "bounds")
-        groups = cut(groups.join(bounds.select("node", "n"), "node"), "groups")
-        links, joined = None, None
-        for turn in range(ROUNDS + 1):
-            if joined is None:
-                now = groups.withColumn("component", F.col("node"))
-            else:
-                now = groups.join(joined.withColumnRenamed("component", "found"), "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
-            pairs = self.star_pairs(now, turn) if turn < ROUNDS else self.cross_pairs(now)
-            found = self.verified(self.filtered(pairs, bounds))
-            links = found if links is None else links.union(found)
-            joined = cut(components(links, "joined"), "joined")
+        met = cut(self.groups(), "met")
+        # own: how many of the node's prefix tokens no other node has there.
+        sharing = met.groupBy("node").agg(F.count("*").alias("shared"))
+        bounds = self.nodes.join(sharing, "node").withColumn("own", F.size("prefix0") - F.col("shared"))
+        bounds = cut(bounds.select("node", "own", "id", "name", "n", "parity", *(f"prefix{k}" for k in range(1, ORDERS))), "bounds")
+        groups = cut(met.join(bounds.select("node", "own", "n"), "node"), "groups")
+        links = self.verified(self.filtered(self.star_pairs(groups), bounds))
+        joined = cut(components(links, "joined"), "joined")
+        now = groups.join(joined.withColumnRenamed("component", "found"), "node", "left")
+        now = cut(now.select("token", "node", "n", F.coalesce("found", "node").alias("component")), "groups")
+        links = links.union(self.verified(self.filtered(self.cross_pairs(now), bounds)))
+        joined = cut(components(links, "joined"), "joined")
         of_class = self.classes.join(joined, "node", "left").select("name", "least_id", F.coalesce("component", "node").alias("component"))
         of_class = cut(of_class, "components")
         least = of_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
