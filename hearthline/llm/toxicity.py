@@ -119,6 +119,12 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_fea
     return values[:n_features], values[n_features] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
+def _mark_batch(features: np.ndarray, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Which of the model's features each example has."""
+    marks = [np.flatnonzero(np.isin(features, np.array(own, np.int64).view(np.uint64))) for own in batch.column("features").to_pylist()]
+    yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("toxic"), pa.array(marks, pa.list_(pa.int32()))], names=["row", "toxic", "marks"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from labelled texts (0 or 1; other rows are left out).
 
@@ -153,15 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     # Of many, those that most toxic texts have.
     used = used.orderBy(F.desc(F.col("hits") - F.col("others") * F.lit(1 / scale)), "feature").limit(MAX_FEATURES)
     features = np.sort(np.array([r["feature"] for r in used.select("feature").collect()], np.int64).view(np.uint64))
-    marks = F.array_intersect("features", F.array(*[F.lit(int(f)) for f in features.view(np.int64)])) if len(features) < 64 else None
-    if marks is None:
-        listed = found.sparkSession.createDataFrame([(features.view(np.int64).tolist(),)], "listed array<long>")
-        found, marks = found.crossJoin(F.broadcast(listed)), F.array_intersect("features", "listed")
-    examples = found.select("row", "toxic", marks.alias("marks")).orderBy("row").collect()
+    marked = found.select("row", "toxic", "features").mapInArrow(batches(functools.partial(_mark_batch, features)), "row long, toxic int, marks array<int>")
+    examples = marked.orderBy("row").collect()
     toxic = np.array([r["toxic"] for r in examples])
     sizes = np.array([len(r["marks"]) for r in examples])
     rows = np.repeat(np.arange(len(examples)), sizes)
-    columns = np.searchsorted(features, np.array([f for r in examples for f in r["marks"]], np.int64).view(np.uint64))
+    columns = np.array([k for r in examples for k in r["marks"]], np.int64)
     steps = np.quantile(sizes[toxic == 1], np.arange(1, GRADES) / GRADES)
     grades = np.where(toxic == 1, 1 + np.searchsorted(steps, sizes, "left"), 0)
     top = int(grades.max())
