@@ -11,8 +11,9 @@ empty ones, and neither a crowded store cell nor a crowded listing cell ever
 multiplies with the other.
 
 The result is a table of listing cells with their few candidate stores. The
-listings meet it once, in an equi-join on the cell, and pick their nearest
-candidate inside the row. They are neither duplicated nor regrouped.
+distinct places of the listings meet it level by level, as rows of two numbers,
+and keep their nearest candidate. The listings are joined once, with the result
+of their place; they are neither duplicated nor regrouped.
 """
 
 from __future__ import annotations
@@ -34,8 +35,6 @@ FINEST = 12
 FEW = 64
 # The search starts at the finest level with at most this many cell pairs.
 START_PAIRS = 200_000
-# Candidate entries (about 100 bytes each) up to which the cell table is broadcast.
-BROADCAST_ENTRIES = 500_000
 # Cell edges are moved out by this much (degrees), above any rounding error.
 _MARGIN = 1e-9
 # Distances that agree to this many decimals of a mile are ties.
@@ -223,19 +222,6 @@ def _stores_of(tier: str) -> Column:
     )
 
 
-def broadcast_if_small(cells: DataFrame, arrays: Sequence[str]) -> DataFrame:
-    """Materialise the cell table and broadcast it if its entries are few.
-
-    Counted exactly: below the bound the listings are not shuffled at all;
-    above it the join shuffles both sides by cell.
-    """
-    cells = cells.checkpoint()
-    entries = cells.agg(
-        F.sum(functools.reduce(lambda a, b: a + b, [F.coalesce(F.size(a), F.lit(0)) for a in arrays]))
-    ).first()[0]
-    return F.broadcast(cells) if (entries or 0) <= BROADCAST_ENTRIES else cells
-
-
 def _best(stores: Column, lat: Column, lon: Column) -> Column:
     """Nearest of an array of stores: distance, then store order."""
 
@@ -256,17 +242,10 @@ def _best(stores: Column, lat: Column, lon: Column) -> Column:
     return F.array_min(F.transform(F.transform(stores, measured), ranked))
 
 
-def _crowded_points(
-    listings: DataFrame, crowded: DataFrame, lat: str, lon: str, tiers: Sequence[str]
-) -> DataFrame:
-    """Nearest store per distinct place, for cells with several chunks."""
-    places = (
-        listings.select(F.col(lat).alias("p_lat"), F.col(lon).alias("p_lon"))
-        .filter(~missing(F.col("p_lat")) & ~missing(F.col("p_lon")))
-        .distinct()
-        .withColumns({"qx": _leaf_x(F.col("p_lon")), "qy": _leaf_y(F.col("p_lat"))})
-    )
-    per_chunk = places.join(crowded, ["qx", "qy"]).withColumn(
+def _crowded_points(places: DataFrame, crowded: DataFrame, tiers: Sequence[str]) -> DataFrame:
+    """Nearest store per distinct place, for finest cells with several chunks."""
+    at_leaf = places.select("p_lat", "p_lon", F.col("_x").alias("qx"), F.col("_y").alias("qy"))
+    per_chunk = at_leaf.join(crowded, ["qx", "qy"]).withColumn(
         "best", _best(F.col("stores"), F.col("p_lat"), F.col("p_lon"))
     )
     return per_chunk.groupBy("p_lat", "p_lon").agg(
@@ -309,15 +288,15 @@ def _with_best(
     )
     store_leaves = points.groupBy("tier", "x", "y").agg(F.count("*").alias("n"))
 
-    # Rows without coordinates match no cell; they are spread over dummy cells
-    # instead of meeting in one task on a null key.
-    spread = -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in listings.columns]), F.lit(4096))
-    out = listings.withColumns(
-        {
-            "_x": F.when(known, _leaf_x(F.col(lon))).otherwise(spread * 4**FINEST),
-            "_y": F.when(known, _leaf_y(F.col(lat))).otherwise(F.lit(-1)),
-        }
+    # The levels are met by distinct places, two numbers each. The listings
+    # themselves are joined once, with their place's result.
+    out = (
+        listings.filter(known)
+        .select(F.col(lat).alias("p_lat"), F.col(lon).alias("p_lon"))
+        .distinct()
+        .withColumns({"_x": _leaf_x(F.col("p_lon")), "_y": _leaf_y(F.col("p_lat"))})
     )
+    place = (F.col("p_lat"), F.col("p_lon"))
     found: dict[str, list[Column]] = {t: [] for t in tiers}
     for level, pairs in _search(listing_leaves, store_leaves, tiers, few, start_pairs):
         candidates = _candidates(points, level, pairs, few)
@@ -331,22 +310,27 @@ def _with_best(
             ]
         )
         out = out.join(
-            broadcast_if_small(cells, [f"_{level}_{t}" for t in tiers]),
-            [_at(level, F.col("_x")) == F.col("qx"), _at(level, F.col("_y")) == F.col("qy")],
-            "left",
-        ).drop("qx", "qy")
+            cells.checkpoint(), [_at(level, F.col("_x")) == F.col("qx"), _at(level, F.col("_y")) == F.col("qy")], "left"
+        )
+        # Only the nearest of a level's stores goes on, not the list.
+        kept = [c for c in out.columns if c not in ("qx", "qy") and not c.startswith(f"_{level}_")]
+        out = out.select(*kept, *[_best(F.col(f"_{level}_{t}"), *place).alias(f"_at_{level}_{t}") for t in tiers])
         for t in tiers:
-            found[t].append(_best(F.col(f"_{level}_{t}"), F.col(lat), F.col(lon)))
+            found[t].append(F.col(f"_at_{level}_{t}"))
         if level == FINEST:
-            places = _crowded_points(listings, crowded, lat, lon, tiers)
-            out = out.join(
-                places, [F.col(lat) == F.col("p_lat"), F.col(lon) == F.col("p_lon")], "left"
-            ).drop("p_lat", "p_lon")
+            places = _crowded_points(out, crowded, tiers)
+            out = out.join(places, ["p_lat", "p_lon"], "left")
             for t in tiers:
                 found[t].append(F.col(f"crowded_{t}"))
-
-    best = {f"_best_{t}": functools.reduce(lambda a, b: F.coalesce(a, b), columns) for t, columns in found.items()}
-    return out.select(*own, *[c.alias(n) for n, c in best.items()])
+    best = [functools.reduce(F.coalesce, columns).alias(f"_best_{t}") for t, columns in found.items()]
+    results = out.select("p_lat", "p_lon", *best)
+
+    # Rows without coordinates match no place; they are spread over made-up
+    # ones instead of meeting in one task on a null key.
+    spread = 1000.0 + F.pmod(F.xxhash64(*own), F.lit(4096))
+    keyed = listings.withColumns({"_lat": F.when(known, F.col(lat)).otherwise(spread), "_lon": F.when(known, F.col(lon)).otherwise(spread)})
+    joined = keyed.join(results, [F.col("_lat") == F.col("p_lat"), F.col("_lon") == F.col("p_lon")], "left")
+    return joined.select(*own, *[f"_best_{t}" for t in tiers])
 
 
 def nearest_store_wide(
