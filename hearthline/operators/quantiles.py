@@ -1,12 +1,12 @@
 """Exact order statistics and interpolated quantiles without a global sort.
 
 Spark's exact ``percentile`` merges all distinct values of a column in one
-task, so it is used only up to a counted number of rows. A global sort would
-move every row. Beyond that size the column is only scanned: a bounded sketch
-brackets each wanted rank, exact counts confirm the bracket, and only the few
-values inside it are grouped and ranked. A bracket that is still large is
-narrowed by another scan. Values that occur very often arrive at the ranking as
-one row with a count.
+task, and a global sort would move every row. Here the column is only scanned,
+whatever its size: a bounded sketch brackets each wanted rank, exact counts
+confirm the bracket, and only the few values inside it are grouped and ranked.
+A bracket that is still large is narrowed by another scan; one that a sketch
+does not tighten is halved by value instead, so the ranking is always short.
+Values that occur very often arrive at it as one row with a count.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from hearthline.operators.projection import frame_from_rows, quoted
 
-# Columns with at most this many values use the built-in exact aggregate.
-BUILT_IN_ROWS = 1_000_000
 # Sketch accuracy: ranks are bracketed to about 1 / ACCURACY of the rows.
 ACCURACY = 10_000
 # A bracket with at most this many rows goes to the ranking step.
@@ -45,6 +43,7 @@ class _Bracket:
     below: int = 0  # rows under low
     upto: int = 0  # rows up to and including high
     settled: bool = False
+    halve: bool = False  # the last sketch did not tighten it
 
     @property
     def rows(self) -> int:
@@ -61,7 +60,10 @@ def _inside(bracket: _Bracket) -> Column:
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     """One scan proposes tighter brackets, a second counts and confirms them."""
-    todo = [b for b in brackets if not b.settled]
+    _halve(df, [b for b in brackets if not b.settled and b.halve])
+    todo = [b for b in brackets if not b.settled and not b.halve]
+    if not todo:
+        return
     # Brackets over the same range of a column share one sketch.
     shared: dict[tuple, list[int]] = {}
     for i, b in enumerate(todo):
@@ -93,7 +95,38 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
         rows_before = b.rows
         if b.holds(below, upto):
             b.low, b.high, b.below, b.upto = low, high, below, upto
-        b.settled = b.rows <= RANKED_ROWS or b.low == b.high or b.rows >= rows_before
+        b.halve = b.rows >= rows_before
+        b.settled = b.rows <= RANKED_ROWS or b.low == b.high
+
+
+def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Each bracket becomes the half of its value range that holds its ranks."""
+    if not brackets:
+        return
+    parts = []
+    for i, b in enumerate(brackets):
+        value, middle = _inside(b), b.low + (b.high - b.low) / 2
+        parts += [
+            F.count_if(value <= middle).alias(f"n{i}"),
+            F.max(F.when(value <= middle, value)).alias(f"l{i}"),
+            F.min(F.when(value > middle, value)).alias(f"h{i}"),
+        ]
+    row, astride = df.agg(*parts).first(), []
+    for i, b in enumerate(brackets):
+        upto, low, high = b.below + row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]
+        if b.last < upto:
+            b.high, b.upto = low, upto
+        elif b.first >= upto:
+            b.low, b.below = high, upto
+        else:
+            # The two ranks lie on either side: no other value is between them.
+            b.low, b.high, b.settled = low, high, True
+            astride.append(b)
+        b.settled = b.settled or b.rows <= RANKED_ROWS or b.low == b.high
+    if astride:
+        counts = [F.count_if(clean_number(b.column) < b.low).alias(f"b{i}") for i, b in enumerate(astride)]
+        for b, below in zip(astride, df.agg(*counts).first(), strict=True):
+            b.below = below
 
 
 def _ranked(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
@@ -139,17 +172,6 @@ def _facts(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     return {c: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns)}
 
 
-def _built_in(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
-    at = F.array(*[F.lit(float(f)) for f in fractions])
-    row = df.agg(*[F.percentile(clean_number(c), at).alias(f"q{i}") for i, c in enumerate(columns)])
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.lit(float(f)).alias("fraction"), F.get(F.col(f"q{i}"), F.lit(j)).alias("value"))
-        for i, c in enumerate(columns)
-        for j, f in enumerate(fractions)
-    ]
-    return row.select(F.inline(F.array(*entries)))
-
-
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[float], facts: dict[str, tuple] | None = None
 ) -> DataFrame:
@@ -161,8 +183,6 @@ def exact_quantiles(
     """
     columns = list(dict.fromkeys(columns))
     facts = facts or _facts(df, columns)
-    if max(n for n, _, _ in facts.values()) <= BUILT_IN_ROWS:
-        return _built_in(df, columns, fractions)
     targets, wanted = [], []
     for c in columns:
         n = facts[c][0]
