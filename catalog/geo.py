@@ -35,11 +35,11 @@ def miles_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 _MILES = miles_sql("h.latitude", "h.longitude", "s.lat", "s.lng")
-_NEAREST = f"""
+NEAREST_SQL = f"""
 select h.id, s.tier, s.name || ' - ' || s.address as store, {_MILES} as distance, s.store_order,
   row_number() over (partition by h.id, s.tier order by round({_MILES}, 9), s.store_order) as rank
 from {_HOMES} h cross join {_STORES} s where h.latitude is not null"""
-_BEST = f"select id, tier, store, round(distance, 6) as distance from ({_NEAREST}) where rank = 1"
+_BEST = f"select id, tier, store, round(distance, 6) as distance from ({NEAREST_SQL}) where rank = 1"
 
 
 @query(
