@@ -155,7 +155,11 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     meeting = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meeting = meeting.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "vector")
-    counts = meeting.groupBy("component", "low", "high").applyInPandas(functools.partial(_block_counts, threshold), "node long, linked long")
+
+    def counted(rows: pd.DataFrame) -> pd.DataFrame:
+        return _block_counts(threshold, rows)
+
+    counts = meeting.groupBy("component", "low", "high").applyInPandas(counted, "node long, linked long")
     counts = counts.groupBy("node").agg(F.sum("linked").alias("linked"))
     least = members.groupBy("component").agg(F.min("least_id").alias("component_id"))
     known = classes.join(joined, "node", "left").join(counts, "node", "left").join(least, "component", "left")
