@@ -316,22 +316,31 @@ class _Join:
     def sizes(self, n: str, m: str) -> Column:
         return F.expr(f"{n} * {self.percent} <= {m} * 100 and {m} * {self.percent} <= {n} * 100")
 
-    def cross_pairs(self, groups: DataFrame) -> DataFrame:
-        """All pairs of nodes of different components that share a token, and a few more.
-
-        Components meet per token; each pair of components that meets anywhere
-        is spelled out once, whatever number of tokens it meets in. So a large
-        component costs its size for each that it meets, and never its square."""
-        met = groups.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        x = met.select("token", F.col("component").alias("p"), F.col("low").alias("p_low"), F.col("high").alias("p_high"))
-        y = met.select("token", F.col("component").alias("q"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
-        fits = F.expr(f"p < q and p_low * {self.percent} <= q_high * 100 and q_low * {self.percent} <= p_high * 100")
-        meetings = x.join(y, "token").where(fits).select("p", "q").distinct()
-        members = groups.select("component", "node", "n").distinct()
-        left = members.select(F.col("component").alias("p"), F.col("node").alias("u"), F.col("n").alias("un"))
-        right = members.select(F.col("component").alias("q"), F.col("node").alias("v"), F.col("n").alias("vn"))
-        pairs = meetings.join(left, "p").join(right, "q").where(self.sizes("un", "vn"))
-        return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+    def cross_pairs(self, groups: DataFrame, bounds: DataFrame) -> DataFrame:
+        """All pairs of nodes of different components that share a token and meet the bounds.
+
+        Nodes that are still alone meet each other per token, and only pairs
+        within the bounds come out of that join. A larger component meets a
+        node of another once, whatever number of tokens they share, and its own
+        nodes are then held against that node. So a large component costs its
+        size for each node that it meets, and never its square."""
+        marks = bounds.select("node", "parity")
+        alone = groups.where("members = 1").join(marks, "node").select("token", "node", "n", "parity")
+        x, y = alone.alias("x"), alone.alias("y")
+        small = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _may_link(self.percent, "x", "y"))
+        small = small.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+        large = groups.where("members > 1").groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        others = groups.select("token", F.col("component").alias("other"), "node", "n", "members")
+        fits = F.expr(
+            f"component <> other and (members = 1 or component < other) and low * {self.percent} <= n * 100 and n * {self.percent} <= high * 100"
+        )
+        meetings = large.join(others, "token").where(fits).select("component", "node", "n").distinct().join(marks, "node")
+        own = groups.where("members > 1").select("component", "node", "n").distinct().join(marks, "node")
+        x, y = own.alias("x"), meetings.alias("y")
+        met = x.join(y, (F.col("x.component") == F.col("y.component")) & _may_link(self.percent, "x", "y"))
+        pairs = small.union(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     def run(self) -> DataFrame:
         met = cut(self.groups(), "met")
@@ -342,9 +351,12 @@ class _Join:
         groups = cut(met.join(bounds.select("node", "own", "n"), "node"), "groups")
         links = self.verified(self.filtered(self.star_pairs(groups), bounds))
         joined = cut(components(links, "joined"), "joined")
-        now = groups.join(joined.withColumnRenamed("component", "found"), "node", "left")
-        now = cut(now.select("token", "node", "n", F.coalesce("found", "node").alias("component")), "groups")
-        links = links.union(self.verified(self.filtered(self.cross_pairs(now), bounds)))
+        sizes = joined.groupBy("component").agg(F.count("*").alias("of"))
+        found = joined.join(sizes, "component").select("node", F.col("component").alias("found"), "of")
+        now = groups.join(found, "node", "left")
+        now = now.select("token", "node", "n", F.coalesce("found", "node").alias("component"), F.coalesce("of", F.lit(1)).alias("members"))
+        now = cut(now, "groups")
+        links = links.union(self.verified(self.filtered(self.cross_pairs(now, bounds), bounds)))
         joined = cut(components(links, "joined"), "joined")
         of_class = self.classes.join(joined, "node", "left").select("name", "least_id", F.coalesce("component", "node").alias("component"))
         of_class = cut(of_class, "components")
