@@ -5,6 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from hearthline import schema as S
+from hearthline.operators import rows
+from hearthline.plans.listing_pages import page_to_listing
 
 # No shuffle at all: one projection or filter over the scan.
 MAPS = """
@@ -27,6 +30,9 @@ def test_rows_never_move(spark, small, name):
     text = plan(spark, small, name)
     # Pages made from the tables are dealt to the cores before the operator runs.
     moved = [line for line in text.splitlines() if " Exchange " in line and "RoundRobin" not in line]
+    if name == "nearest_store_wide":
+        # The store list is gathered once, as a scalar.
+        moved = [line for line in moved if "SinglePartition" not in line]
     assert not moved and text.count("RoundRobin") <= (name in ("html_attributes", "page_to_listing"))
     assert "Eval" not in text and "MapInPandas" not in text
 
@@ -47,3 +53,15 @@ def test_columns_are_pruned_and_filters_pushed(spark, small):
     assert "StringContains(html" in text
     lines = plan(spark, small, "describe_numeric")
     assert "l_orderkey" not in lines and "l_shipdate" not in lines
+
+
+def test_page_text_is_never_shuffled(spark):
+    pages = spark.createDataFrame([(1, "u", "<p></p>")], S.PAGES)
+    listed = rows.dedup_by_url(page_to_listing(pages, keep=("url", "page_id")))
+    text = listed._jdf.queryExecution().executedPlan().toString()
+    above = text[: text.rindex("Exchange")]
+    assert "Exchange" in text and "html" not in above
+    partial = text[text.rindex("Exchange") :].splitlines()[1:]
+    # What the shuffle is given holds extracted fields only.
+    first = next(line for line in partial if "Aggregate" in line)
+    assert "html#" not in first.split("output=")[-1]
