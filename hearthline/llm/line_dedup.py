@@ -52,6 +52,9 @@ def keep_bitmaps(docs: DataFrame, id: str = "doc_id", text: str = "text", min_do
         .agg(F.count("*").alias("documents"), F.min(F.struct("id", "text_hash", "position")).alias("first"))
         .where(F.col("documents") >= min_docs)
     )
+    # Written, so that the join below reads plain tables on both sides: adaptive
+    # execution then splits a hash that very many lines have.
+    repeated = cut(repeated, "repeated")
     lost = lines.join(repeated, "hash")
     if keep_first:
         lost = lost.where(~F.struct("id", "text_hash", "position").eqNullSafe(F.col("first")))
