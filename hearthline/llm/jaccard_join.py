@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm import words as W
-from hearthline.llm.common import array_rows, batches, components, cut, free_name, sum_arrays
+from hearthline.llm.common import array_rows, batches, components, cut, free_name, sum_arrays, text_column
 
 #: Token orders, and slots of each one's counting sketch.
 ORDERS = 3
@@ -387,11 +387,22 @@ def shingle_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one document of each component: the one with the smallest id, null last.
 
-    Documents without words stay. Among rows that share that id one stays.
+    Documents without words stay. Rows are told by id and text, so an id may be
+    null or stand for several texts. Of rows that share the smallest id the one
+    whose text has the least hash stays, and of rows that repeat both, one.
     """
-    found = similar_components(docs, id, text, size, percent)
-    key, order = free_name(docs.columns, "_id"), free_name(docs.columns, "_text_hash")
-    gone = found.where("n_shingles > 0 and not (id <=> component_id)").select(F.col("id").alias(key)).distinct()
-    return docs.join(gone, docs[id].eqNullSafe(F.col(key)), "left_anti")
+    key, hashed = free_name(docs.columns, "_id"), free_name(docs.columns, "_text_hash")
+    text_hash = F.xxhash64(text_column(docs, text))
+    # Structs compare field by field: rows with an id come first, then its order, then the text's.
+    named = docs.select(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), text_hash.alias("hash")).alias("id"), F.col(text).alias("text"))
+    found = similar_components(named, "id", "text", size, percent).where("n_shingles > 0")
+    rows = found.groupBy("id").agg(F.count("*").alias("times"), F.min("component_id").alias("component_id"))
+    rows = rows.select(F.col("id.id").alias(key), F.col("id.hash").alias(hashed), (F.col("id") == F.col("component_id")).alias("stays"), "times")
+    # All rows of a key go, and of a repeated one that stays one row comes back.
+    gone = cut(rows.where("times > 1 or not stays"), "gone")
+    same = docs[id].eqNullSafe(F.col(key)) & (text_hash == F.col(hashed))
+    kept = docs.join(gone.select(key, hashed), same, "left_anti")
+    again = docs.join(gone.where("stays").select(key, hashed), same, "left_semi").withColumn(hashed, text_hash)
+    return kept.union(again.dropDuplicates([id, hashed]).select(*docs.columns))

@@ -103,6 +103,40 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 4, 5]
 
 
+def kept_of(rows, size=5, percent=80):
+    """Rows without words, and of each component the least (id, hash) once, from all pairs."""
+    sets = [shingle_set(text, size) for _, text, _ in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and common * 100 >= percent * (len(sets[i]) + len(sets[j]) - common):
+                root = [root[j] if r == root[i] else r for r in root]
+    out = [(id, text) for (id, text, _), s in zip(rows, sets, strict=True) if not s]
+    for r in {r for r, s in zip(root, sets, strict=True) if s}:
+        out.append(min(((id, text) for k, (id, text, hash) in enumerate(rows) if root[k] == r), key=lambda d: (d[0] is None, d[0] or 0, hash_of(rows, d))))
+    return sorted(out, key=str)
+
+
+def hash_of(rows, doc):
+    return next(hash for id, text, hash in rows if (id, text) == doc)
+
+
+def test_keep_one_with_null_shared_and_repeated_ids(spark):
+    first, second, third, alone = (" ".join(f"{p}{k}" for k in range(40)) for p in "abcd")
+    near = first + " more"
+    rows = [(5, first), (7, first), (7, second), (7, second), (7, None), (7, "")]
+    rows += [(None, near), (None, alone), (None, ""), (None, None), (None, third), (None, third), (None, third + " x"), (None, third.upper())]
+    rows += [(9, alone + " z"), (9, "short text"), (9, "short text"), (9, "other one"), (9, "other  one"), (8, "other one")]
+    rows += [(20, "twice seen by one id"), (20, "Twice seen by one id"), (None, "twice seen by one id")]
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _text_hash int")
+    hashed = [tuple(r) for r in frame.selectExpr("doc_id", "text", "xxhash64(coalesce(text, ''))").collect()]
+    for parts in (1, 5):
+        kept = J.keep_one(frame.repartition(parts))
+        assert kept.schema == frame.schema
+        assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == kept_of(hashed)
+
+
 def test_prefix_of_any_order_is_shared():
     rng = np.random.default_rng(3)
     classes = rng.integers(0, 255, (J.ORDERS, 1 << 10)).astype(np.uint8)
