@@ -9,6 +9,13 @@ Equal vectors are one node. In a window only a spanning forest of the verified
 pairs is passed on, so a dense cluster does not multiply. Links are then
 counted inside each component by comparing it block with block, all of it, so
 that no window cuts the count.
+
+Where the vectors of a label lean one way, strangers share the first bits too
+and fill the windows. So after the first passes about QUERIES vectors of each
+label are compared with all of it. A label where less than TARGET of their
+links lie inside components gets as many passes again, and so on, until that
+share is reached or comparing the label whole costs no more than its passes
+did; then it is compared whole.
 """
 
 from __future__ import annotations
@@ -27,6 +34,10 @@ from hearthline.llm.common import batches, components, cut
 PASSES, BITS, WINDOW = 16, 48, 32
 #: Nodes of a component in one block of the count.
 BLOCK = 512
+#: Vectors of a label that recall is measured on, and the share of their links to be found.
+QUERIES, TARGET = 1024, 0.95
+#: Rows of a label that its queries meet at once, and of a block where a label is compared whole.
+CHUNK, WHOLE = 8192, 2048
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -50,11 +61,11 @@ def _projections(dimension: int, turn: int) -> np.ndarray:
     return np.random.default_rng([dimension, turn]).normal(size=(dimension, BITS))
 
 
-def _key_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _key_batch(turns: range, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
     for size, part in _by_dimension(batch):
         unit = _unit(_matrix(part.column("vector"), size))
-        for turn in range(PASSES):
+        for turn in turns:
             keys = (unit @ _projections(size, turn) > 0) @ weights
             n = len(keys)
             arrays = [pa.array(np.full(n, turn, np.int32)), part.column("label"), pa.array(np.full(n, size, np.int32)), pa.array(keys), part.column("node"), part.column("vector")]
@@ -124,6 +135,96 @@ def _block_counts(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": rows["node"], "linked": near @ rows["copies"].to_numpy()})
 
 
+def _query_recall(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of the queries with the rows of a chunk, and how many lie inside a component."""
+    asked = rows["asked"].to_numpy()
+    unit = _unit(np.stack(rows["vector"].to_numpy()).astype(float))
+    node, component = rows["node"].to_numpy(), rows["component"].to_numpy()
+    linked = found = 0
+    others = np.flatnonzero(~asked)
+    for part in np.array_split(np.flatnonzero(asked), -(-int(asked.sum()) // 256) or 1):
+        near = (unit[part] @ unit[others].T >= threshold) & (node[part][:, None] != node[others])
+        linked += int(near.sum())
+        found += int((near & (component[part][:, None] == component[others])).sum())
+    return pd.DataFrame({"label": rows["label"].iloc[:1], "dimension": rows["dimension"].iloc[:1], "linked": [linked], "found": [found]})
+
+
+def _block_parts(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs that join what links connect inside two blocks."""
+    unit = _unit(np.stack(rows["vector"].to_numpy()).astype(float))
+    near = unit @ unit.T >= threshold
+    nodes, left, pairs = rows["node"].to_numpy(), np.ones(len(rows), bool), []
+    for k in np.flatnonzero(near.sum(axis=1) > 1):
+        fresh = np.array([k]) if left[k] else np.zeros(0, int)
+        while len(fresh):
+            left[fresh] = False
+            pairs += [(nodes[k], nodes[other]) for other in fresh if other != k]
+            fresh = np.flatnonzero(near[fresh].any(axis=0) & left)
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+
+def _meetings(members: DataFrame, group: list[str], size: int, *carried: str) -> DataFrame:
+    """The rows of every two blocks of a group of ``nodes``, under the blocks' numbers ``low`` and ``high``."""
+    members = members.withColumn("blocks", F.ceil(F.col("nodes") / size).cast("int"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    meeting = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return meeting.select(*group, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", *carried, "vector")
+
+
+def _behind(part: DataFrame, joined: DataFrame, threshold: float) -> DataFrame:
+    """(label, dimension) of the labels whose queries have too many links between components."""
+    rows = part.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = rows.withColumn("chunks", F.ceil(F.col("nodes") / CHUNK).cast("int"))
+    names = ["label", "dimension", "chunk", "asked", "node", "component", "vector"]
+    own = rows.withColumns({"chunk": F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"), "asked": F.lit(False)}).select(*names)
+    asked = rows.where(F.pmod("two", F.ceil(F.col("nodes") / QUERIES)) == 0).withColumn("asked", F.lit(True))
+    asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*names)
+
+    def measured(rows: pd.DataFrame) -> pd.DataFrame:
+        return _query_recall(threshold, rows)
+
+    kind = part.schema["label"].dataType.simpleString()
+    links = own.union(asked).groupBy("label", "dimension", "chunk").applyInPandas(measured, f"label {kind}, dimension int, linked long, found long")
+    links = links.groupBy("label", "dimension").agg(F.sum("linked").alias("linked"), F.sum("found").alias("found"))
+    return links.where(F.col("found") < F.col("linked") * TARGET).select("label", "dimension")
+
+
+def _joined(classes: DataFrame, threshold: float, window: int) -> DataFrame:
+    """(node, component) of the nodes that links join, by passes until recall is reached."""
+    group = ["label", "dimension"]
+    kind, label = classes.schema["vector"].dataType.simpleString(), classes.schema["label"].dataType.simpleString()
+    schema = f"turn int, label {label}, dimension int, key long, node long, vector {kind}"
+    order = ["turn", "label", "dimension", "key", "node"]
+    part = classes.select("label", F.size("vector").alias("dimension"), "two", "node", "vector")
+    part = part.join(part.groupBy(*group).agg(F.count("*").alias("nodes")), group)
+
+    def parts(rows: pd.DataFrame) -> pd.DataFrame:
+        return _block_parts(threshold, rows)
+
+    joined, turns = None, range(PASSES)
+    while True:
+        keyed = part.select("label", "node", "vector").mapInArrow(batches(functools.partial(_key_batch, turns)), schema)
+        placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+        pairs = placed.mapInArrow(functools.partial(_window_stream, threshold, window), "a long, b long")
+        if joined is not None:
+            pairs = pairs.union(joined.select("node", "component"))
+        joined = cut(components(pairs, "joined"), "joined")
+        behind = cut(_behind(part, joined, threshold), "behind")
+        if behind.isEmpty():
+            return joined
+        part = cut(part.join(behind, group), "behind")
+        # A pass costs a node ``window`` comparisons, all pairs half its label's nodes.
+        cheap = F.col("nodes") <= 2 * window * turns.stop
+        whole = part.where(cheap)
+        if not whole.isEmpty():
+            pairs = _meetings(whole, group, WHOLE).groupBy(*group, "low", "high").applyInPandas(parts, "a long, b long")
+            joined = cut(components(pairs.union(joined.select("node", "component")), "joined"), "joined")
+        part = part.where(~cheap)
+        if part.isEmpty():
+            return joined
+        turns = range(turns.stop, 2 * turns.stop)
+
+
 def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.98, window: int = WINDOW) -> DataFrame:
     """(id, n_links, component_id, kept), a row a vector.
 
@@ -133,7 +234,9 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     ids are rows of their own; a component's id is its smallest, null last.
 
     Pairs are found if they stand within ``window`` of each other in one of
-    PASSES orders, or both belong to a component found so.
+    the passes' orders, or both belong to a component found so. There are
+    PASSES of them, and in a label more until TARGET of the links of about
+    QUERIES of its vectors are found, or until it is compared whole.
     """
     rows = vectors.select(F.col(id).alias("id"), F.col(label).alias("label"), F.col(vector).alias("vector"))
     rows = rows.withColumn("usable", _usable(F.col("vector"), F.col("label")))
@@ -141,20 +244,12 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     name = ["label", "one", "two"]
     classes = rows.where("usable").groupBy(*name).agg(F.count("*").alias("copies"), F.min("id").alias("least_id"), F.first("vector").alias("vector"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    kind = classes.schema["vector"].dataType.simpleString()
-    schema = f"turn int, label {classes.schema['label'].dataType.simpleString()}, dimension int, key long, node long, vector {kind}"
-    keyed = classes.select("label", "node", "vector").mapInArrow(batches(_key_batch), schema)
-    order = ["turn", "label", "dimension", "key", "node"]
-    placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    pairs = placed.mapInArrow(functools.partial(_window_stream, threshold, window), "a long, b long")
-    joined = cut(components(pairs, "joined"), "joined")
+    joined = _joined(classes, threshold, window)
 
     members = classes.join(joined, "node")
     sizes = joined.groupBy("component").agg(F.count("*").alias("nodes"))
-    members = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("nodes") / BLOCK).cast("int"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    meeting = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = meeting.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "vector")
+    members = members.join(sizes, "component")
+    meeting = _meetings(members, ["component"], BLOCK, "copies")
 
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
         return _block_counts(threshold, rows)

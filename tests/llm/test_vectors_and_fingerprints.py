@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 
 from hearthline.llm import embedding_dedup as E
 from hearthline.llm import imatch
@@ -89,6 +90,35 @@ def test_recall_on_the_table(spark):
     assert sum(g[1] for g in got) >= 0.9 * sum(w[1] for w in want)
 
 
+def leaning(seed, rows, near, cosine, dimension=64):
+    """Vectors whose cosines lie around ``cosine``, the first ``near`` with one more each at 0.982."""
+    rng = np.random.default_rng(seed)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    vectors = unit(np.sqrt(cosine) * unit(rng.normal(size=(1, dimension))) + np.sqrt(1 - cosine) * unit(rng.normal(size=(rows, dimension))))
+    aside = rng.normal(size=(near, dimension))
+    aside = unit(aside - (aside * vectors[:near]).sum(axis=1, keepdims=True) * vectors[:near])
+    return np.concatenate([vectors, 0.982 * vectors[:near] + np.sqrt(1 - 0.982**2) * aside])
+
+
+def recall(spark, vectors):
+    near = np.concatenate([(vectors[k : k + 1000] @ vectors.T >= 0.98).sum(axis=1) - 1 for k in range(0, len(vectors), 1000)])
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(vectors)), "embedding": vectors.tolist(), "label": 1}))
+    links = {r["vec_id"]: r["n_links"] for r in E.vector_components(frame).collect()}
+    assert all(links[k] <= n for k, n in enumerate(near.tolist()))
+    return sum(links.values()) / near.sum()
+
+
+def test_recall_where_vectors_lean_one_way(spark):
+    assert recall(spark, leaning(4, 16_000, 4_000, 0.95)) >= 0.9
+
+
+def test_label_compared_whole(spark, monkeypatch):
+    """Where passes find nothing, all pairs are compared."""
+    monkeypatch.setattr(E, "_window_stream", lambda threshold, window, stream: iter(()))
+    monkeypatch.setattr(E, "WHOLE", 300)
+    assert recall(spark, leaning(5, 700, 200, 0.5)) == 1
+
+
 # --- fingerprints ---------------------------------------------------------------
 
 
