@@ -119,13 +119,13 @@ def _named() -> Iterator[Rule]:
     yield Rule("bsd-4-clause", VERSION, "bsd", "(?:original|old) bsd license")
     yield Rule("0bsd", VERSION, "0bsd", "0bsd")
     for label, keyword, pattern in (
-        ("mit", "mit license", "(?:the )?(?:expat )?mit licen[cs]e"),
+        ("mit", "mit licen", "(?:the )?(?:expat )?mit licen[cs]e"),
         ("mit", "mit style", "mit style licen[cs]e"),
         ("mit", "licensed under mit", "licensed under mit"),
         ("mit", "expat", "expat license"),
         ("mit", "x11 license", "x11 license"),
         ("bsd", "bsd", "bsd(?: style)? licen[cs]e"),
-        ("isc", "isc license", "isc licen[cs]e"),
+        ("isc", "isc licen", "isc licen[cs]e"),
         ("zlib", "zlib", "zlib(?: libpng)? license"),
         ("ncsa", "ncsa", "(?:university of illinois )?ncsa open source license"),
         ("unlicense", "unlicense", "(?:the )?unlicense"),
@@ -135,7 +135,7 @@ def _named() -> Iterator[Rule]:
         ("json", "good not evil", "used for good not evil"),
         ("postgresql", "postgresql", "postgresql license"),
         ("ruby", "ruby license", "ruby license"),
-        ("perl", "perl itself", "same terms as perl(?: \\d+)? itself"),
+        ("perl", "same terms as perl", "same terms as perl(?: \\d+)? itself"),
         ("openssl", "openssl", "openssl license"),
         ("curl", "curl license", "curl license"),
         ("vim", "vim license", "vim license"),
@@ -169,7 +169,7 @@ def _notices() -> Iterator[Rule]:
         ("gfdl", "copy distribute and or modify", "permission is granted to copy distribute and or modify this document"),
         ("public-domain", "public domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
         ("no-copying", "no part of this", "no part of this (?:\\w+ ){1,4}may be reproduced"),
-        ("personal-use", "personal use", "for personal(?: and)? non ?commercial use only"),
+        ("personal-use", "for personal", "for personal(?: and)? non ?commercial use only"),
     ):
         yield Rule(label, NOTICE, keyword, pattern)
     yield Rule("spdx", NOTICE, "spdx license identifier", "spdx license identifier (?:\\w+ ?){1,4}")

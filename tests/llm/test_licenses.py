@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import re
 
 from hearthline.llm import licenses as L
@@ -60,6 +61,36 @@ def test_every_rule_can_match():
     assert len(gated) == len(L.rules()) > 200
 
 
+def samples(tree):
+    """Texts that a parsed pattern matches: every branch, every member of a class, fewest and one more repeats."""
+    parts = []
+    for kind, value in tree:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts.append([chr(value)])
+        elif kind == "IN":
+            parts.append([chr(v if str(k) == "LITERAL" else v[0]) if str(k) in ("LITERAL", "RANGE") else {"CATEGORY_DIGIT": "7", "CATEGORY_WORD": "x"}[str(v)] for k, v in value])
+        elif kind == "BRANCH":
+            parts.append([x for branch in value[1] for x in samples(branch)])
+        elif kind == "SUBPATTERN":
+            parts.append(list(samples(value[3])))
+        else:
+            assert kind == "MAX_REPEAT"
+            low, high, sub = value
+            parts.append(["".join(x) for n in {low, min(low + 1, int(high))} for x in itertools.product(samples(sub), repeat=n)])
+    return map("".join, itertools.product(*parts))
+
+
+def test_keywords_are_in_all_that_their_patterns_match():
+    for rule in L.rules():
+        for text in itertools.islice(samples(re._parser.parse(rule.pattern)), 5000):
+            assert re.fullmatch(rule.pattern, text)
+            assert rule.keyword in f" {text} ", (rule, text)
+    assert labels("under the MIT Licence") == {"mit"}
+    assert labels("ISC Licence") == {"isc"}
+    assert labels("same terms as Perl 5 itself") == {"perl"}
+
+
 def test_contained_detections_are_suppressed():
     words = L.normal(b"gnu lesser general public license version 2.1 or any later version")
     kept = L.detections(words)
