@@ -15,7 +15,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -100,9 +100,43 @@ def mappings_by_fingerprint() -> dict[str, Mapping]:
     found = {fingerprint(m.paths): m for m in MAPPINGS}
     # A list of turns may be empty.
     found |= {fingerprint([f"{m.turns}[]"]): m for m in MAPPINGS if m.turns}
+    # So may a list of parts, and a part may be a text itself: beside parts that
+    # are records, beside texts, or alone.
+    for m in MAPPINGS:
+        if m.turns:
+            bare = f"{m.turns}[].{m.text}[]"
+            found.setdefault(fingerprint([*m.paths, bare]), m)
+            found.setdefault(fingerprint([f"{m.turns}[].{m.role}", bare]), m)
     return found
 
 
+@cache
+def _read_names() -> frozenset[str]:
+    """The names that some mapping reads: of fields, and of a turn's fields after their list's."""
+    names = {m.turns for m in MAPPINGS} | {p.split("[]")[0] for m in MAPPINGS for p in m.paths}
+    return frozenset(names | {f"{m.turns}[].{name}" for m in MAPPINGS if m.turns for name in (m.role, m.text)})
+
+
+_PLAIN_FIELD = re.compile(r"([^\[\].]+)(?:\.[^\[\]]+)?(?:\[\])?")
+_PLAIN_IN_TURN = re.compile(r"([^\[\].]+)\[\]\.([^\[\].]+)(?:\[\])?")
+
+
+@lru_cache(4096)
+def _passed_over(path: str) -> bool:
+    """If a field of no mapping may stand beside the turns: a plain value or a
+    list of them, of the record, of a record in it, or of a turn. Deeper values
+    (tool calls, pictures, other turns) may be part of what is said."""
+    if m := _PLAIN_FIELD.fullmatch(path):
+        return m[1] not in _read_names()
+    m = _PLAIN_IN_TURN.fullmatch(path)
+    return bool(m) and m[1] in _read_names() and f"{m[1]}[].{m[2]}" not in _read_names()
+
+
+def layout_of(record: dict) -> Mapping | None:
+    """The mapping of a record's paths, whatever plain fields it has besides."""
+    return mappings_by_fingerprint().get(fingerprint(p for p in field_paths(record) if not _passed_over(p)))
+
+
 def _as_text(value: object) -> str:
     if value is None:
         return ""
@@ -131,14 +165,13 @@ _TURNS = "id long, number long, role string, text string, layout string"
 
 
 def _turn_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    known = mappings_by_fingerprint()
     rows = []
     for id, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         try:
             record = json.loads(source or "null")
         except ValueError:
             record = None
-        mapping = known.get(fingerprint(field_paths(record))) if isinstance(record, dict) else None
+        mapping = layout_of(record) if isinstance(record, dict) else None
         if mapping is None:
             rows.append((id, None, None, source, None))
         else:
@@ -152,8 +185,10 @@ def _turn_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def canonical_turns(records: DataFrame, id: str = "id", record: str = "record") -> DataFrame:
     """(id, number, role, text, layout) from JSON records of any known layout.
 
-    A record that is not JSON or whose paths are not known becomes one row with
-    a null layout and the record as text, so nothing is lost without a trace.
+    Plain fields that no layout reads (an id, a source, a turn's name or weight)
+    are passed over. A record that is not JSON, or whose other paths are not
+    known, becomes one row with a null layout and the record as text, so nothing
+    that may be a turn is lost without a trace.
     Null texts and roles are empty. An empty list of turns gives no rows.
     """
     return records.select(F.col(id).cast("long").alias("id"), F.col(record).cast("string").alias("record")).mapInArrow(batches(_turn_batch), _TURNS)

@@ -77,6 +77,46 @@ def test_layouts(record, layout, turns):
     assert mapping.name == layout or not turns
 
 
+def with_more(record):
+    more = {"id": "x1", "source": None, "score": 0.5, "tags": ["a", "b"], "meta": {"lang": "en"}, "notes": []}
+    out = {**more, **record}
+    for name, value in record.items():
+        if isinstance(value, list):
+            out[name] = [{**turn, "name": "n", "weight": 1, "seen": []} for turn in value]
+    return out
+
+
+PARTS = [
+    ({"messages": [{"role": "user", "content": []}]}, [("user", "")]),
+    ({"messages": [{"role": "user", "content": []}, {"role": "assistant", "content": "a"}]}, [("user", ""), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]}, {"role": "assistant", "content": []}]}, [("user", "q"), ("assistant", "")]),
+    ({"conversations": [{"from": "human", "value": ["q", "2"]}, {"from": "gpt", "value": "a"}]}, [("user", "q2"), ("assistant", "a")]),
+    ({"dialog": [{"speaker": "bot", "text": []}, {"speaker": "bot", "text": "a"}, {"speaker": "bot", "text": [{"type": "text", "text": "q"}]}]}, [("assistant", ""), ("assistant", "a"), ("assistant", "q")]),
+]
+
+
+def test_more_fields_and_empty_lists(spark):
+    cases = [(record, turns) for record, _, turns in LAYOUTS] + PARTS
+    cases += [(with_more(record), turns) for record, turns in cases]
+    frame = spark.createDataFrame([(k, json.dumps(record)) for k, (record, _) in enumerate(cases)], "id long, record string")
+    got = defaultdict(list)
+    for r in sorted(chat.canonical_turns(frame).collect(), key=lambda r: (r["id"], r["number"] or 0)):
+        got[r["id"]].append((r["role"], r["text"]))
+    assert [got[k] for k in range(len(cases))] == [turns for _, turns in cases]
+
+
+def test_fields_that_may_be_said_are_not_passed_over():
+    turn = {"role": "user", "content": "q"}
+    for record in (
+        {"messages": [turn], "system": "s"},
+        {"messages": [{**turn, "tool_calls": [{"name": "f"}]}]},
+        {"messages": [{"role": "user", "content": [{"type": "image", "url": "u", "text": ""}]}]},
+        {"instruction": "i", "output": "o", "input": {"a": "b"}},
+        {"instruction": "i", "output": "o", "history": [["q", "a"]]},
+    ):
+        assert chat.layout_of(record) is None
+
+
 def test_unknown_records_are_kept(spark):
     rows = [(1, '{"strange": 1}'), (2, "not json"), (3, None), (4, "[1]"), (5, json.dumps(LAYOUTS[0][0]))]
     got = chat.canonical_turns(spark.createDataFrame(rows, "id long, record string")).collect()
