@@ -376,7 +376,9 @@ def similar_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     reach; null ids come after all others. A null text or one without words has
     an empty set, links with nothing, and is its own component. Repeated rows
     and equal sets are linked. ``name`` names the set, ``component`` the
-    component; both are null for empty sets.
+    component; both are null for empty sets. Only what links reach is told:
+    once joined, nodes of a component are not compared with each other, so a
+    document's links are not counted.
     """
     return _Join(docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")), size, percent).run()
 
