@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ SHARES, EACH = 8, 8
 #: Slots of the first count.
 SLOT_BITS = 20
 _COUNTED = 1 << 19
+#: Characters of a text that ranges of one id are cut at, and texts that the cuts are taken from.
+HEAD, SAMPLED = 64, 4096
 
 
 def _distinct_terms(stream: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -188,37 +191,69 @@ def _compare_stream(shared: Broadcast, stream: Iterator[pa.RecordBatch]) -> Iter
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _heads(docs: DataFrame, quantiles: list[float], ranges: int) -> dict[float | None, list[str]]:
+    """For each id that fills several ranges, null among them, the heads of texts that cut it."""
+    nulls, rows = docs.agg(F.count_if(F.col("id").isNull()), F.count("*")).first()
+    # From 2^53 on a quantile may stand for several ids.
+    several = {id: n for id, n in Counter(quantiles).items() if n > 1 and abs(id) < 1 << 53}
+    if nulls * ranges > rows:
+        several[None] = -(-nulls * ranges // rows)
+    if not several:
+        return {}
+    wanted = F.col("id").cast("double").isin([id for id in several if id is not None])
+    sample = docs.where(F.col("id").isNull() | wanted).select(F.col("id").cast("double").alias("id"), F.substring("text", 1, HEAD).alias("head"))
+    found: dict[float | None, list[str]] = {}
+    for row in sample.orderBy(F.rand(7)).limit(SAMPLED).collect():
+        found.setdefault(row["id"], []).append(row["head"])
+    cuts = {}
+    for id, texts in found.items():
+        texts.sort()
+        n = several.get(id, 1)
+        cuts[id] = sorted({texts[k * len(texts) // n] for k in range(1, n)} - {""})
+    return {id: texts for id, texts in cuts.items() if texts}
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(range, id, text, guest): documents in ranges of descending id, null last.
 
     The first document of each range also closes the one before as a guest, and
     the very first closes the last, so that every document is followed by its
-    next one in the same range. Ties of id are ordered by text. Only ids are
-    read to find the ranges; texts move once.
+    next one in the same range. Ties of id are ordered by text, and an id of
+    very many rows, or none, has ranges of its own, cut by text. Only ids and
+    some texts' heads are read to find the ranges; texts move once.
     """
     spark = docs.sparkSession
     ranges = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("id").where("id is not null")
-    edges = sorted(set(ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ids.take(1) else []))
+    quantiles = ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ids.take(1) else []
+    edges = sorted(set(quantiles))
+    heads = _heads(docs, quantiles, ranges)
     # Ranges count from the highest ids; rows without an id come last of all.
     number = F.lit(len(edges))
     if edges:
         number = F.lit(len(edges)) - F.size(F.filter(F.lit(edges), lambda edge: edge < F.col("id")))
-    number = F.when(F.col("id").isNull(), F.lit(len(edges) + 1)).otherwise(number).cast("int")
-    placed = docs.withColumn("range", number)
+    number = F.when(F.col("id").isNull(), F.lit(len(edges) + 1)).otherwise(number).cast("long")
+    # An id that is an edge has the highest place in its range; the others come after its texts.
+    cuts = F.lit(None).cast("array<string>")
+    known = [F.lit(x) for id, texts in heads.items() if id is not None for x in (id, texts)]
+    if known:
+        cuts = F.create_map(*known)[F.col("id").cast("double")]
+    if None in heads:
+        cuts = F.when(F.col("id").isNull(), F.lit(heads[None])).otherwise(cuts)
+    inside = F.when(cuts.isNotNull(), F.size(F.filter(cuts, lambda head: head <= F.col("text")))).otherwise(F.lit(ranges))
+    placed = docs.withColumn("range", number * (ranges + 1) + inside)
     firsts = placed.groupBy("range").agg(F.max("id").alias("first")).orderBy("range").collect()
     if not firsts:
         return placed.select("range", "id", "text", F.lit(False).alias("guest"))
     present = [r["range"] for r in firsts]
     before = {r: present[k - 1] for k, r in enumerate(present)}
     starts = {r["range"]: r["first"] for r in firsts}
-    home = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
     as_map = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
     start_map = F.create_map(*[F.lit(x) for pair in starts.items() if pair[1] is not None for x in pair]) if any(v is not None for v in starts.values()) else None
     first = F.col("id").isNull() if start_map is None else F.coalesce(F.col("id") == start_map[F.col("range")], F.col("id").isNull())
-    guest = F.struct(as_map[F.col("range")].alias("range"), F.lit(True).alias("guest"))
-    both = placed.withColumn("place", F.explode(F.when(first, F.array(home, guest)).otherwise(F.array(home))))
-    return both.select("place.range", "id", "text", "place.guest")
+    guests = placed.where(first).groupBy("range").agg(F.max("id").alias("id"), F.min("text").alias("text"))
+    guests = guests.select(as_map[F.col("range")].alias("range"), "id", "text", F.lit(True).alias("guest"))
+    return placed.select("range", "id", "text", F.lit(False).alias("guest")).union(guests)
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:

@@ -168,6 +168,18 @@ def test_fingerprints_of_awkward_rows(spark):
     assert [(r["near_next"], r["n_chars"]) for r in alone] == [(1.0, 1)]
 
 
+def test_ranges_of_null_and_shared_ids(spark):
+    """Many rows without an id, or of one id, are cut by text; a range sends one row."""
+    docs = [(None, f"text {k * 7 % 400:03} of none") for k in range(400)] + [(50, f"é{k * 11 % 300:03} of one id") for k in range(300)]
+    docs += [(k, f"own {k}") for k in range(100)] + [(None, "")] * 3 + [(50, None), (1 << 60, "far"), ((1 << 60) + 1, "far"), (-5, "last")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = imatch.document_fingerprints(frame.repartition(5)).collect()
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in rows), key=str) == expected(docs)
+    placed = imatch.with_next(frame.selectExpr("doc_id as id", "coalesce(text, '') as text")).groupBy("range", "guest").count().collect()
+    assert all(r["count"] == 1 for r in placed if r["guest"])
+    assert max(r["count"] for r in placed) <= 150
+
+
 def test_lexicon_is_the_band(spark):
     texts = [f"everywhere {'half' if k % 2 else ''} once{k}" for k in range(40)]
     terms = imatch.lexicon(spark.createDataFrame([(t,) for t in texts], "text string"), low=0.1, high=0.6)
