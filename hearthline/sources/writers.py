@@ -40,11 +40,19 @@ def sink_routed(df: DataFrame, mode: str, targets: Mapping[str, str]) -> str:
 
 
 def create_listing_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """The listing table if it is not there yet: Parquet, a partition for each load of a day."""
-    columns = ",\n".join(f"  `{f.name}` {f.dataType.simpleString()}" for f in S.LISTING_TABLE.fields)
+    """The listing table if it is not there yet: Parquet, a partition for each day of a load.
+
+    The load comes first in the partition path, so that a load can be replaced
+    as a whole. The table itself says that an overwrite takes all partitions it
+    names, whatever the session's own overwrite mode is.
+    """
+    columns = ",\n".join(f"  `{f.name}` {f.dataType.simpleString()}" for f in S.LISTING_TABLE.fields if f.name != "date_added")
+    day = S.LISTING_TABLE["date_added"].dataType.simpleString()
     at = f" LOCATION '{location}'" if location else ""
-    columns += ",\n  `load_id` string"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n{columns}\n) USING parquet PARTITIONED BY (date_added, load_id){at}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} (\n{columns},\n  `load_id` string,\n  `date_added` {day}\n)"
+        f" USING parquet OPTIONS (partitionOverwriteMode 'static') PARTITIONED BY (load_id, date_added){at}"
+    )
 
 
 def _to_type(name: str, have: T.DataType, want: T.DataType) -> Column:
@@ -77,11 +85,19 @@ def append_listings(df: DataFrame, table: str, load_id: str) -> None:
     """Add one load; the same load again replaces what it wrote before.
 
     Days hold the rows of all their loads, so a second batch of a day adds to
-    the first, and a rerun under the same ``load_id`` leaves the same table.
-    Rows are rebalanced by day before writing: small days share files, and a
-    day with very many rows is split over several writers.
+    the first. Only the partition of ``load_id`` is overwritten, with all its
+    days: a rerun leaves the same table, and days that a rerun no longer has
+    are gone. A rerun that fails midway leaves its own load incomplete, never
+    another one; run it again. Rows are rebalanced by day before writing:
+    small days share files, and a day with very many rows is split over
+    several writers.
     """
-    columns = df.sparkSession.table(table).columns
-    rows = to_listing_table(df).withColumn("load_id", F.lit(load_id)).select(*[quoted(c) for c in columns])
-    balanced = rows.hint("rebalance", F.col("date_added"))
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    spark = df.sparkSession
+    if [f.name for f in spark.table(table).schema.fields][-2:] != ["load_id", "date_added"]:
+        raise ValueError(f"{table} is not partitioned by load_id and date_added; make it with create_listing_table")
+    data = [f.name for f in S.LISTING_TABLE.fields if f.name != "date_added"]
+    rows = to_listing_table(df).select(*[quoted(c) for c in data], "date_added").hint("rebalance", F.col("date_added"))
+    named = load_id.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (load_id = '{named}', date_added) SELECT * FROM {{rows}}", rows=rows
+    )

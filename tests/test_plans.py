@@ -103,14 +103,47 @@ def test_a_rerun_leaves_the_same_table(spark):
     assert sorted(loaded.columns) == sorted([*(f.name for f in S.LISTING_TABLE.fields), "load_id"])
     assert dict(loaded.dtypes)["furnished"] == "boolean"
     assert {r["Bedrooms"] for r in loaded.select("Bedrooms").distinct().collect()} == {1}
+    # The same load with another day: the day that it no longer has is gone.
     W.append_listings(ready.withColumn("date_added", F.lit(dt.date(2024, 6, 1))), table, "one")
-    assert spark.table(table).count() == 176
+    assert [r[0] for r in spark.table(table).select("date_added").distinct().collect()] == [dt.date(2024, 6, 1)]
+    assert spark.table(table).count() == 88
     # Another load of a day adds to it.
     W.append_listings(ready.limit(5), table, "two")
-    assert spark.table(table).count() == 181
+    assert spark.table(table).count() == 93
     spark.sql(f"DROP TABLE {table}")
 
 
+@pytest.mark.parametrize("mode", ["STATIC", "DYNAMIC"])
+def test_loads_keep_each_other_in_any_session(spark, mode):
+    """Two loads of the same days, reruns, and names with odd characters."""
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        table = f"listings_{mode.lower()}"
+        W.create_listing_table(spark, table, fresh_dir(spark, "table"))
+        ready = daily.ready(daily.clean(located(spark)), keep_unlisted=True)
+        days = [dt.date(2024, 6, d) for d in (1, 2, 3)]
+        three = ready.limit(30).withColumn("date_added", F.lit(days)[F.pmod(F.xxhash64("title"), F.lit(3)).cast("int")]).cache()
+        at = {d: three.filter(F.col("date_added") == d).count() for d in days}
+
+        def counts():
+            return {(r["load_id"], r["date_added"]): r["count"] for r in spark.table(table).groupBy("load_id", "date_added").count().collect()}
+
+        odd = "it's \\ 50% a/b=c"
+        W.append_listings(three, table, "morning")
+        W.append_listings(three, table, odd)
+        W.append_listings(three, table, "morning")
+        both = {(name, d): n for name in ("morning", odd) for d, n in at.items() if n}
+        assert counts() == both
+        W.append_listings(three.filter(F.col("date_added") == days[0]), table, "morning")
+        assert counts() == {k: n for k, n in both.items() if k[0] == odd or k[1] == days[0]}
+        W.append_listings(three.limit(0), table, "morning")
+        assert counts() == {k: n for k, n in both.items() if k[0] == odd}
+        spark.sql(f"DROP TABLE {table}")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
 def test_table_load_names_missing_columns(spark):
     with pytest.raises(ValueError, match="price"):
         W.to_listing_table(spark.createDataFrame([("a",)], "title string"))
