@@ -27,11 +27,12 @@ _H1 = r"""regexp_replace(replace(trim(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</
 
 @query(f"select page_id, {_H1} as heading, '{S.ADDRESS_MISSING}' as address from pages")
 def html_text_field(t):
-    page = H.visible(F.col("html"))
-    return t.pages.select(
+    texts = H.html_texts(H.visible(F.col("html")), ("h1", None), ("h2", ("class", "street-address")))
+    heading, address = (F.get("texts", F.lit(k)) for k in range(2))
+    return t.pages.select("page_id", texts.alias("texts")).select(
         "page_id",
-        H.html_text_field(page, "h1", None, S.TITLE_MISSING).alias("heading"),
-        H.html_text_field(page, "h2", ("class", "street-address"), S.ADDRESS_MISSING).alias("address"),
+        H.text_or(heading, S.TITLE_MISSING).alias("heading"),
+        H.text_or(address, S.ADDRESS_MISSING).alias("address"),
     )
 
 

@@ -1,15 +1,18 @@
 """Reading fields out of page HTML with built-in expressions.
 
-A page is cut where tags of the wanted name begin, and the depth is counted
-along the pieces, so elements may be nested to any depth. The work stays in the
-JVM and a page's text is not copied to a worker.
+A page is cut once into a token table: the pieces between ``<`` characters and
+the tag name that each piece begins with. All selectors read that table, so
+elements may be nested to any depth and further fields cost little. The work
+stays in the JVM and a page's text is not copied to a worker.
 """
 
 from __future__ import annotations
 
 import html.entities
 import re
+import zlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,26 +21,37 @@ from hearthline import schema as S
 from hearthline.functions.text import split_index, strip_ws
 
 _HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
-_PIECES = rf"(?s){_REFERENCE}|[^&]+|&"
+_REFERENCE = r"^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 
-# The standard's character references as one text, so that a plan holds a single
-# literal: mark, name, mark, characters. Names that are also accepted without
-# the closing semicolon are in it both ways. Numbers 128 to 159 stand for the
-# characters that Windows-1252 has there.
-_BEFORE, _AFTER = "\x01", "\x02"
+# The standard's character references as a hash table: a name lies in the bucket
+# of its checksum, as mark, name, mark, characters, mark. Names that are also
+# accepted without the closing semicolon are in it both ways. Numbers 128 to 159
+# stand for the characters that Windows-1252 has there.
+_BEFORE, _AFTER, _BUCKET = "\x01", "\x02", "\x03"
+_BUCKETS = 4096
 
 
 def _replaced_numbers() -> dict[str, str]:
-    found = {"#0": "\ufffd", "#13": "\r"}
+    """Numbers that do not stand for their own character, and the ones written most."""
+    found = {f"#{n};": chr(n) for n in (*range(32, 127), *range(160, 256))}
+    nothing = (*range(1, 9), 11, *range(14, 32), 127, *range(0xFDD0, 0xFDF0))
+    nothing += tuple(plane << 16 | last for plane in range(17) for last in (0xFFFE, 0xFFFF))
+    found |= {f"#{n}": "" for n in nothing} | {"#0": "\ufffd", "#13": "\r"}
     for n in range(128, 160):
         text = bytes([n]).decode("cp1252", "ignore")
         found[f"#{n}"] = text or chr(n)
     return found
 
 
-_KNOWN = html.entities.html5 | _replaced_numbers()
-_TABLE = "".join(f"{_BEFORE}{name}{_AFTER}{text}" for name, text in _KNOWN.items()) + _BEFORE
+def _table() -> str:
+    buckets = [""] * _BUCKETS
+    for name, text in (html.entities.html5 | _replaced_numbers()).items():
+        place = zlib.crc32(name.encode()) % _BUCKETS
+        buckets[place] = f"{buckets[place] or _BEFORE}{name}{_AFTER}{text}{_BEFORE}"
+    return _BUCKET.join(buckets)
+
+
+_TABLE = _table()
 _SHORT = max(len(name) for name in html.entities.html5 if not name.endswith(";"))
 
 
@@ -46,61 +60,60 @@ def visible(page: Column) -> Column:
     return F.regexp_replace(page, _HIDDEN, "")
 
 
-def _look_up(name: Column) -> Column:
-    """The characters of a reference's name, null if there is no such name."""
-    after = F.split_part(F.lit(_TABLE), F.concat(F.lit(_BEFORE), name, F.lit(_AFTER)), F.lit(2))
-    return F.nullif(F.split_part(after, F.lit(_BEFORE), F.lit(1)), F.lit(""))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed one time however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _decode_number(piece: Column) -> Column:
-    """``&#233;`` or ``&#xE9;``, null for anything else."""
-    digits = F.regexp_extract(piece, r"^&#0*([0-9]+);?$", 1)
-    hexa = F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]+);?$", 1)
-    # More digits than the last character has: out of range all the same.
-    short = F.when(F.length(digits) > 7, F.lit("FFFFFF")).when(digits != "", F.conv(digits, 10, 16))
-    short = short.when(F.length(hexa) > 6, F.lit("FFFFFF")).when(hexa != "", hexa)
-    number = F.conv(short, 16, 10).cast("bigint")
-    unusable = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-    no_character = (
-        number.between(1, 8) | (number == 11) | number.between(14, 31) | number.between(127, 159) | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
-    )
-    return F.coalesce(
-        _look_up(F.concat(F.lit("#"), number.cast("string"))),
-        F.when(unusable, F.lit("\ufffd")).when(no_character, F.lit("")),
-        F.decode(F.unhex(F.lpad(F.conv(number, 10, 16), 8, "0")), "UTF-32"),
-    )
+def _look_up(name: str) -> str:
+    """SQL: the characters of a reference's name, null if there is no such name."""
+    bucket = f"get(bound.names, cast(pmod(crc32(cast({name} as binary)), {_BUCKETS}) as int))"
+    key = f"concat('{_BEFORE}', {name}, '{_AFTER}')"
+    return f"if(contains({bucket}, {key}), split_part(split_part({bucket}, {key}, 2), '{_BEFORE}', 1), null)"
+
 
+def _decoder() -> str:
+    """SQL lambda from a struct of the table and some texts to the decoded texts.
 
-def _decode_name(piece: Column) -> Column:
-    """``&eacute;``: the whole name, else the longest beginning that is a name."""
-    name = F.substring(piece, 2, 1 << 30)
-    shorter = [
-        F.when(F.length(name) > n, F.concat(_look_up(F.substring(name, 1, n)), F.substring(name, n + 1, 1 << 30)))
-        for n in range(_SHORT, 1, -1)
-    ]
-    return F.coalesce(_look_up(name), *shorter)
+    Written as SQL because it is large and always the same: the parser makes
+    the expression at once, where a column call for each part takes seconds.
+    """
+    # More digits than the last character has: out of range all the same.
+    hexa = "conv(substring(ltrim('0', substring(name, 3)), 1, 12), 16, 10)"
+    decimal = "conv(substring(ltrim('0', substring(name, 2)), 1, 12), 10, 10)"
+    number = f"coalesce(cast(if(lower(name) like '#x%', {hexa}, {decimal}) as bigint), 0)"
+    character = f"""coalesce({_look_up("concat('#', cast(number as string))")},
+        if(number > 1114111 or number between 55296 and 57343, '\ufffd', decode(unhex(lpad(conv(number, 10, 16), 8, '0')), 'UTF-32')))"""
+    # The longest beginning that is a name, and the rest as it is.
+    beginnings = f"""filter(transform(sequence({_SHORT}, 2, -1), n -> if(length(name) > n,
+        concat({_look_up("substring(name, 1, n)")}, substring(name, n + 1)), null)), found -> found is not null)"""
+    known = f"""coalesce({_look_up("name")},
+        case when name = '' then null when name like '#%' then get(transform(array({number}), number -> {character}), 0)
+             else get({beginnings}, 0) end)"""
+    piece = f"""get(transform(array(regexp_extract(after, r'{_REFERENCE}', 0)), name ->
+        concat(coalesce({known}, concat('&', name)), substring(after, length(name) + 1))), 0)"""
+    joined = f"array_join(transform(split(text, '&'), (after, place) -> if(place = 0, after, {piece})), '')"
+    return f"bound -> transform(bound.texts, text -> if(contains(text, '&'), {joined}, text))"
 
 
-def _decode_reference(piece: Column) -> Column:
-    reference = piece.startswith("&") & (F.length(piece) > 1)
-    decoded = F.when(piece.startswith("&#"), _decode_number(piece)).otherwise(_decode_name(piece))
-    return F.when(reference, F.coalesce(decoded, piece)).otherwise(piece)
+_DECODER = _decoder()
 
 
-def unescape(text: Column) -> Column:
-    """Replace character references; texts without one are left untouched."""
-    decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), _decode_reference), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+def unescape_all(texts: Column) -> Column:
+    """Replace character references in an array of texts; texts without one are left untouched."""
+    # The table is one literal of the plan, bound once for all texts.
+    bound = F.struct(F.split(F.lit(_TABLE), _BUCKET).alias("names"), texts.alias("texts"))
+    return F.get(F.call_function("transform", F.array(bound), F.expr(_DECODER)), F.lit(0))
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed one time however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def unescape(text: Column) -> Column:
+    """Replace character references in one text."""
+    return F.get(unescape_all(F.array(text)), F.lit(0))
 
 
-def plain_text(element: Column) -> Column:
-    """An element of a visible page to text: tags dropped, references decoded."""
-    return _once(F.regexp_replace(element, r"<[^>]*+>", ""), unescape)
+def plain_texts(elements: Column) -> Column:
+    """Elements of a visible page to text: tags dropped, references decoded."""
+    return unescape_all(F.transform(elements, lambda element: F.regexp_replace(element, r"<[^>]*+>", "")))
 
 
 def _attribute(name: str, value: str) -> str:
@@ -113,105 +126,208 @@ def _attribute(name: str, value: str) -> str:
     return rf"\s{name}\s*=\s*(?:\"{inner}\"|'{inner}'|{wanted}(?=[\s>]))"
 
 
-def _opening(tag: str, attribute: tuple[str, str] | None) -> str:
-    if attribute is None:
-        return rf"<{tag}\b[^>]*+>"
-    return rf"<{tag}\b(?=[^>]*?{_attribute(*attribute)})[^>]*+>"
+#: Elements without content and end tag; fixed values.
+_VOID = "area base br col embed hr img input link meta param source track wbr".split()
+#: Tags that are looked at first for the end of an element.
+_NEAR = 16
 
 
-#: Elements without content and end tag; fixed values.
-_VOID = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
-_OTHER, _OPENS, _WANTED, _CLOSES = 0, 1, 2, -1
+#: A tag name, and an attribute that has a value (a class: holds it) or None.
+Selector = tuple[str, tuple[str, str] | None]
 
 
-def _tag_pieces(page: Column, tag: str) -> Column:
-    """The page cut before every start and end tag of the name (a pattern)."""
-    return F.split(page, rf"(?i)(?=</?(?:{tag})\b)", -1)
+@dataclass(frozen=True)
+class Tokens:
+    """A page as the pieces that begin at ``<``, and the tag name of each piece.
 
+    Names are in small letters, of end tags with a slash in front; the text
+    before the first tag has an empty name. ``marks`` holds a number for each
+    start tag that one of the selectors wants: its place, and a bit for each
+    selector, from one pass over the names for all of them.
+    """
 
-def _kinds(pieces: Column, tag: str, wanted: str) -> Column:
-    """What each piece begins with: an end tag, a wanted start tag, another, or none."""
-    return F.transform(
-        pieces,
-        lambda piece: F.when(piece.rlike(rf"(?i)^</(?:{tag})\b"), _CLOSES)
-        .when(piece.rlike(rf"(?is)^{wanted}"), _WANTED)
-        .when(piece.rlike(rf"(?i)^<(?:{tag})\b"), _OPENS)
-        .otherwise(_OTHER),
-    )
+    column: Column
+    selectors: tuple[Selector, ...]
 
+    @property
+    def pieces(self) -> Column:
+        return self.column["pieces"]
 
-def _spans(kinds: Column, direct: bool = False) -> Column:
-    """First and last piece of every outermost wanted element.
+    @property
+    def names(self) -> Column:
+        return self.column["names"]
 
-    One step a piece: inside an element start tags count up and end tags count
-    down, and at zero the element ends. An element that is not closed reaches
-    to the end. With ``direct`` depth is counted outside of elements as well,
-    and only elements at depth zero are taken.
-    """
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("depth"), F.lit(-1).alias("first"), none.alias("spans"))
-
-    def step(state: Column, kind: Column) -> Column:
-        inside = state["first"] >= 0
-        change = F.when(kind > 0, 1).otherwise(kind)
-        begins = ~inside & (kind == _WANTED) & ((state["depth"] == 0) if direct else F.lit(True))
-        outside = F.greatest(state["depth"] + change, F.lit(0)) if direct else F.lit(0)
-        depth = F.when(inside, state["depth"] + change).when(begins, 1).otherwise(outside)
-        ends = inside & (state["depth"] + change <= 0)
-        span = F.struct(state["first"].alias("first"), (state["place"] - 1).alias("last"))
-        return F.struct(
-            (state["place"] + 1).alias("place"),
-            F.when(ends, 0).otherwise(depth).alias("depth"),
-            F.when(begins, state["place"]).when(ends, -1).otherwise(state["first"]).alias("first"),
-            F.when(ends, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
+    def element(self, span: Column) -> Column:
+        return F.concat(F.lit("<"), F.array_join(F.slice(self.pieces, span["first"] + 1, span["length"]), "<"))
+
+    def starts(self, selector: Selector) -> Column:
+        """Places of the start tags of such elements."""
+        bit = 1 << self.selectors.index(selector)
+        held = F.filter(self.column["marks"], lambda mark: mark.bitwiseAND(F.lit(bit).cast("long")) != 0)
+        return F.transform(held, lambda mark: F.shiftright(mark, len(self.selectors)).cast("int"))
+
+
+def _opening(attribute: tuple[str, str] | None) -> str:
+    """A piece after its ``<``: a start tag that is closed and has the attribute."""
+    return r"(?is)^[^>]*+>" if attribute is None else rf"(?is)^[^>]*?{_attribute(*attribute)}[^>]*+>"
+
+
+def tokens(page: Column, *selectors: Selector) -> Column:
+    """The token table of a visible page; keep it as a column to read several fields from it."""
+
+    def named(pieces: Column) -> Column:
+        names = F.transform(
+            pieces, lambda piece, k: F.when(k == 0, "").otherwise(F.lower(F.regexp_extract(piece, r"^/?[A-Za-z][^\s/>]*", 0)))
         )
+        return F.struct(pieces.alias("pieces"), names.alias("names"))
 
-    def finish(state: Column) -> Column:
-        open_end = F.struct(state["first"].alias("first"), (state["place"] - 1).alias("last"))
-        return F.when(state["first"] >= 0, F.concat(state["spans"], F.array(open_end))).otherwise(state["spans"])
+    def marked(table: Column) -> Column:
+        def mark(name: Column, k: Column) -> Column:
+            piece, found = F.get(table["pieces"], k), None
+            for tag in dict.fromkeys(tag for tag, _ in selectors):
+                bits = F.shiftleft(k.cast("long"), len(selectors))
+                for place, (wanted, attribute) in enumerate(selectors):
+                    if wanted == tag:
+                        # Most tags are told by the plain text, without the pattern.
+                        held = F.contains(piece, F.lit(attribute[1] if attribute else ">"))
+                        bits = bits + F.when(held & piece.rlike(_opening(attribute)), 1 << place).otherwise(0)
+                found = F.when(name == tag, bits) if found is None else found.when(name == tag, bits)
+            return found
 
-    return F.aggregate(kinds, start, step, finish)
+        any_bit = F.lit((1 << len(selectors)) - 1).cast("long")
+        marks = F.filter(F.transform(table["names"], mark), lambda m: m.bitwiseAND(any_bit) != 0)
+        return F.struct(table["pieces"].alias("pieces"), table["names"].alias("names"), marks.alias("marks"))
 
+    cut = _once(F.split(page, "<"), named)
+    return F.when(page.isNotNull(), _once(cut, marked) if selectors else cut)
 
-def _joined(pieces: Column, span: Column) -> Column:
-    return F.array_join(F.slice(pieces, span["first"] + 1, span["last"] - span["first"] + 1), "")
 
+def _read(page: Column | Tokens, selectors: tuple[Selector, ...], use: Callable[[Tokens], Column]) -> Column:
+    if isinstance(page, Tokens):
+        return use(page)
+    return _once(tokens(page, *selectors), lambda column: use(Tokens(column, selectors)))
 
-def html_elements(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
-    """All such elements, outermost and in page order, without their end tag."""
 
-    def cut(pieces: Column) -> Column:
-        spans = _spans(_kinds(pieces, tag, _opening(tag, attribute)))
-        return F.transform(spans, lambda span: _joined(pieces, span))
+def _length(names: Column, tag: str, first: Column) -> Column:
+    """Pieces of the element that starts at a place, without its end tag.
+
+    The next end tag of the name closes it where no such element begins before
+    that; else start tags count up and end tags count down. An element that is
+    not closed reaches to the end.
+    """
+
+    def folded(rest: Column) -> Column:
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("length"))
+
+        def step(state: Column, name: Column) -> Column:
+            depth = state["depth"] + F.when(name == tag, 1).when(name == f"/{tag}", -1).otherwise(0)
+            inside = state["depth"] > 0
+            return F.struct(
+                F.when(inside, depth).otherwise(0).alias("depth"), (state["length"] + inside.cast("int")).alias("length")
+            )
+
+        return F.aggregate(rest, start, step, lambda state: state["length"] + (state["depth"] > 0).cast("int"))
+
+    def near(rest: Column) -> Column:
+        def ends(closes: Column) -> Column:
+            opens = F.array_contains(F.slice(rest, 1, F.greatest(closes - 1, F.lit(0)).cast("int")), tag)
+            return F.when((closes > 0) & ~opens, closes.cast("int")).otherwise(folded(F.slice(names, first + 2, F.size(names))))
 
-    return F.when(page.isNotNull(), _once(_tag_pieces(page, tag), cut))
+        return _once(F.array_position(rest, f"/{tag}"), ends)
 
+    return _once(F.slice(names, first + 2, F.lit(_NEAR)), near)
 
-def html_element(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+
+def _span(t: Tokens, tag: str, first: Column) -> Column:
+    return F.struct(first.alias("first"), _length(t.names, tag, first).alias("length"))
+
+
+def _outermost(spans: Column) -> Column:
+    """Spans in page order without those that lie inside another one."""
+
+    def after(one: Column, other: Column) -> Column:
+        return other["first"] >= one["first"] + one["length"]
+
+    def chosen(found: Column) -> Column:
+        nested = F.exists(F.transform(found, lambda span, k: (k > 0) & ~after(F.get(found, k - 1), span)), lambda inner: inner)
+        none = F.slice(found, 1, 0)
+        outer = F.aggregate(
+            found, none, lambda kept, span: F.when((F.size(kept) == 0) | after(F.get(kept, F.size(kept) - 1), span), F.concat(kept, F.array(span))).otherwise(kept)
+        )
+        return F.when(nested, outer).otherwise(found)
+
+    return _once(spans, chosen)
+
+
+def _spans(t: Tokens, selector: Selector) -> Column:
+    return _outermost(F.transform(t.starts(selector), lambda first: _span(t, selector[0], first)))
+
+
+def html_elements(page: Column | Tokens, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+    """All such elements, outermost and in page order, without their end tag."""
+    wanted = (tag, attribute)
+    return _read(page, (wanted,), lambda t: F.transform(_spans(t, wanted), t.element))
+
+
+def html_element(page: Column | Tokens, tag: str, attribute: tuple[str, str] | None = None) -> Column:
     """The first such element with its start tag, null when the page has none."""
-    return F.get(html_elements(page, tag, attribute), F.lit(0))
 
+    def found(t: Tokens) -> Column:
+        start = F.get(t.starts((tag, attribute)), F.lit(0))
+        return _once(start, lambda first: F.when(first.isNotNull(), t.element(_span(t, tag, first))))
+
+    return _read(page, ((tag, attribute),), found)
+
+
+def html_child(element: Column, tag: str) -> Column:
+    """The first element of the name that lies directly in the given one."""
 
-def html_child(content: Column, tag: str) -> Column:
-    """The first element of the name that lies directly in the content."""
-    # The name itself is left out of the names that only count depth.
-    names = rf"(?!(?:{_VOID})\b)[a-z][a-z0-9]*"
+    def child(t: Tokens) -> Column:
+        # Depth inside the element, whose own start tag is piece 1.
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("place"), F.lit(-1).alias("first"))
 
-    def cut(pieces: Column) -> Column:
-        spans = _spans(_kinds(pieces, names, _opening(tag, None)), direct=True)
-        return F.transform(F.slice(spans, 1, 1), lambda span: _joined(pieces, span))
+        def step(state: Column, name: Column) -> Column:
+            change = F.when((name == "") | F.ltrim(name, F.lit("/")).isin(_VOID), 0).when(name.startswith("/"), -1).otherwise(1)
+            direct = (state["first"] < 0) & (state["depth"] == 0) & (name == tag)
+            return F.struct(
+                F.greatest(state["depth"] + change, F.lit(0)).alias("depth"),
+                (state["place"] + 1).alias("place"),
+                F.when(direct, state["place"] + 2).otherwise(state["first"]).alias("first"),
+            )
 
-    return F.get(_once(_tag_pieces(content, names), cut), F.lit(0))
+        inner = F.slice(t.names, 3, F.greatest(F.size(t.names) - 2, F.lit(0)))
+        place = F.aggregate(inner, start, step, lambda state: F.when(state["first"] >= 0, state["first"]))
+        return _once(place, lambda first: F.when(first.isNotNull(), t.element(_span(t, tag, first))))
 
+    return _read(element, (), child)
 
-def html_text(page: Column, tag: str, attribute: tuple[str, str] | None = None) -> Column:
+
+def html_texts(page: Column | Tokens, *selectors: Selector) -> Column:
+    """Unstripped text of the first element of each selector, as an array; null where a page has none.
+
+    The page is cut once and all texts are decoded together, so ask for all
+    fields of a page at once.
+    """
+
+    def found(t: Tokens) -> Column:
+        return F.array(*[html_element(t, *selector) for selector in selectors])
+
+    return plain_texts(_read(page, selectors, found))
+
+
+def html_text(page: Column | Tokens, tag: str, attribute: tuple[str, str] | None = None) -> Column:
     """Unstripped text of the first such element of a visible page, else null."""
-    return _once(html_element(page, tag, attribute), plain_text)
+    return F.get(html_texts(page, (tag, attribute)), F.lit(0))
+
+
+def text_or(text: Column, sentinel: str) -> Column:
+    """A field's text without white space at its ends, or the sentinel."""
+    return F.coalesce(strip_ws(text), F.lit(sentinel))
 
 
-def html_text_field(page: Column, tag: str, attribute: tuple[str, str] | None, sentinel: str) -> Column:
+def html_text_field(page: Column | Tokens, tag: str, attribute: tuple[str, str] | None, sentinel: str) -> Column:
     """Stripped text of the first such element, else the sentinel."""
-    return F.coalesce(strip_ws(html_text(page, tag, attribute)), F.lit(sentinel))
+    return text_or(html_text(page, tag, attribute), sentinel)
 
 
 def html_housing_split(housing: Column) -> Column:
@@ -234,18 +350,36 @@ def html_housing_split(housing: Column) -> Column:
     return _once(housing, parts)
 
 
+def html_attribute_elements(
+    page: Column | Tokens, outer: Selector = ("div", ("class", "attr")), inner: Selector = ("span", ("class", "valu"))
+) -> Column:
+    """The first inner element of every outer element, as an array."""
+
+    def found(t: Tokens) -> Column:
+        def first_in(inside: Column, span: Column) -> Column:
+            end = span["first"] + span["length"]
+            start = F.get(F.filter(inside, lambda k: (k > span["first"]) & (k < end)), F.lit(0))
+
+            def cut(first: Column) -> Column:
+                length = F.least(_length(t.names, inner[0], first), end - first)
+                return F.when(first.isNotNull(), t.element(F.struct(first.alias("first"), length.alias("length"))))
+
+            return _once(start, cut)
+
+        held = _once(t.starts(inner), lambda inside: F.transform(_spans(t, outer), lambda span: first_in(inside, span)))
+        return F.filter(held, lambda element: element.isNotNull())
+
+    return _read(page, (outer, inner), found)
+
+
 def html_attributes(
-    page: Column,
-    outer: tuple[str, tuple[str, str] | None] = ("div", ("class", "attr")),
-    inner: tuple[str, tuple[str, str] | None] = ("span", ("class", "valu")),
+    page: Column | Tokens, outer: Selector = ("div", ("class", "attr")), inner: Selector = ("span", ("class", "valu"))
 ) -> Column:
     """The first inner element's text of every outer element, as an array."""
-    values = F.transform(html_elements(page, *outer), lambda block: html_element(block, *inner))
-    held = F.filter(values, lambda value: value.isNotNull())
-    return F.transform(held, lambda value: strip_ws(plain_text(value)))
+    return F.transform(plain_texts(html_attribute_elements(page, outer, inner)), strip_ws)
 
 
-def html_result_links(page: Column, item: tuple[str, tuple[str, str] | None]) -> Column:
+def html_result_links(page: Column | Tokens, item: Selector) -> Column:
     """Link targets inside the list items of a result page, as an array."""
     hrefs = F.transform(
         html_elements(page, *item),
@@ -253,14 +387,13 @@ def html_result_links(page: Column, item: tuple[str, tuple[str, str] | None]) ->
             block, F.lit(r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)
         ),
     )
-    return F.transform(F.flatten(hrefs), unescape)
+    return unescape_all(F.flatten(hrefs))
 
 
-def html_postings_count(page: Column) -> Column:
+def html_postings_count(page: Column | Tokens) -> Column:
     """Text of the first div directly inside the result counter."""
     counter = html_element(page, "div", ("class", "cl-count-save-bar"))
-    content = F.regexp_replace(counter, r"^<[^>]*+>", "")
-    return F.coalesce(_once(html_child(content, "div"), plain_text), F.lit(S.POSTINGS_COUNT_MISSING))
+    return F.coalesce(F.get(plain_texts(F.array(html_child(counter, "div"))), F.lit(0)), F.lit(S.POSTINGS_COUNT_MISSING))
 
 
 def page_ready(page: Column, marker: str = "cl-static-search-results") -> Column:

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from hearthline import schema as S
 
-# Every character that a Unicode-aware strip removes, including the four
-# information separators that Java's \s leaves alone.
-_SPACE = r"[\s\x1c-\x1f]"
-_EDGES = rf"(?U)^{_SPACE}+|{_SPACE}+\z"
+# Every character that a Unicode-aware strip removes, that is
+# the white space of the standard and the four information separators.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def strip_ws(text: Column) -> Column:
     """Remove all Unicode white space at both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def split_index(text: Column, separator: str, index: int) -> Column:

@@ -11,39 +11,47 @@ from pyspark.sql import functions as F
 
 from hearthline import schema as S
 from hearthline.functions import html as H
+from hearthline.functions.text import strip_ws
 from hearthline.operators import attributes as A
 from hearthline.operators.projection import add_ingest_date, master_schema_project, multi_hot_encode
 from hearthline.session import ensure_checkpoints
 
-Selector = tuple[str, tuple[str, str] | None]
-
 
 @dataclass(frozen=True)
 class Selectors:
     """Where a page keeps its fields. The listing page markup."""
 
-    title: Selector = ("span", ("id", "titletextonly"))
-    price: Selector = ("span", ("class", "price"))
-    housing: Selector = ("span", ("class", "housing"))
-    address: Selector = ("h2", ("class", "street-address"))
-    attribute: Selector = ("div", ("class", "attr"))
-    attribute_value: Selector = ("span", ("class", "valu"))
+    title: H.Selector = ("span", ("id", "titletextonly"))
+    price: H.Selector = ("span", ("class", "price"))
+    housing: H.Selector = ("span", ("class", "housing"))
+    address: H.Selector = ("h2", ("class", "street-address"))
+    attribute: H.Selector = ("div", ("class", "attr"))
+    attribute_value: H.Selector = ("span", ("class", "valu"))
 
 
 def extract_fields(pages: DataFrame, at: Selectors = Selectors()) -> DataFrame:
     """Basic columns, the attribute list and the fee flag of every page.
 
-    Comments and scripts are removed once; all fields read the same text.
+    Comments and scripts are removed and the page is cut into tags once; all
+    fields are read from that, and their texts are decoded together.
     """
-    page = F.col("_page")
     kept = [c for c in pages.columns if c != "html"]
-    fields = pages.withColumn("_page", H.visible(F.col("html"))).select(
+    single = (at.title, at.price, at.housing, at.address)
+    selectors = (*single, at.attribute, at.attribute_value)
+    page = H.Tokens(F.col("_tokens"), selectors)
+    elements = F.array(*[H.html_element(page, *field) for field in single])
+    found = F.concat(elements, H.html_attribute_elements(page, at.attribute, at.attribute_value))
+    cut = pages.select(*kept, H.tokens(H.visible(F.col("html")), *selectors).alias("_tokens"))
+    texts = cut.select(*kept, found.alias("_found")).select(*kept, H.plain_texts(F.col("_found")).alias("_texts"))
+
+    attributes = F.slice("_texts", len(single) + 1, F.size("_texts"))
+    fields = texts.select(
         *kept,
-        H.html_text_field(page, *at.title, S.TITLE_MISSING).alias("Title"),
-        H.html_text_field(page, *at.price, S.PRICE_MISSING).alias("Price"),
-        H.html_housing_split(H.html_text(page, *at.housing)).alias("_housing"),
-        H.html_text_field(page, *at.address, S.ADDRESS_MISSING).alias("Full Address"),
-        H.html_attributes(page, at.attribute, at.attribute_value).alias("attributes"),
+        H.text_or(F.get("_texts", F.lit(0)), S.TITLE_MISSING).alias("Title"),
+        H.text_or(F.get("_texts", F.lit(1)), S.PRICE_MISSING).alias("Price"),
+        H.html_housing_split(F.get("_texts", F.lit(2))).alias("_housing"),
+        H.text_or(F.get("_texts", F.lit(3)), S.ADDRESS_MISSING).alias("Full Address"),
+        F.coalesce(F.transform(attributes, strip_ws), F.array()).alias("attributes"),
     )
     return fields.select(
         *kept,
