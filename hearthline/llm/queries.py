@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthline.llm import chat, embedding_dedup, imatch, jaccard_join, licenses, line_dedup, mixing, packing, quality, toxicity
+from hearthline.llm import (
+    chat,
+    embedding_dedup,
+    imatch,
+    jaccard_join,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    quality,
+    resampling,
+    topk_search,
+    toxicity,
+)
 from hearthline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +41,14 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": _over(line_dedup.line_digest, "documents"),
     "op9_mixing": _over(mixing.mixture, "documents"),
     "op10_packing": _over(packing.packed_pieces, "documents"),
+    "op11_topk_search": _over(topk_search.highest_products, "embeddings"),
+    "op12_periodic_runs": _over(periodic_runs.run_digests, "documents"),
+    "op13_resampling": _over(resampling.importance_ranks, "documents", "benchmark"),
 }
 
 #: The others are tested against brute force, round trips or held-out labels.
 SQL: dict[str, str] = {
     "op8_line_dedup": line_dedup.SQL,
     "op9_mixing": mixing.SQL,
+    "op11_topk_search": topk_search.SQL,
 }
