@@ -360,9 +360,9 @@ def highest_products(embeddings: DataFrame) -> DataFrame:
 
 SQL = """
 with whole as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
   from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
