@@ -72,8 +72,8 @@ def nearest_store_wide(t):
 
 @query(NEAREST_WIDE_SQL)
 def nearest_store_refined(t):
-    """The same with hardly any store compared per row, so the cells are refined."""
-    wide = N.nearest_store_wide(t.homes, t.stores, few=8, start_pairs=1_000)
+    """The same with small shards of stores, so that places meet several of them."""
+    wide = N.nearest_store_wide(t.homes, t.stores, shard=16)
     return wide.select(
         "id",
         *[c for x in S.TIERS for c in (F.round(S.distance_column(x), 6).alias(S.distance_column(x)), S.store_column(x))],

@@ -1,329 +1,221 @@
 """Nearest store of each tier for every listing, exact, without a cross join.
 
-Both sides are put on a grid that halves twice per level: a cell of level L is
-``360 / 4**L`` degrees wide. The search runs on cells, not on rows. It keeps
-pairs (listing cell, store cell), bounds the distance between any two points of
-a pair from below and above, and drops a pair whose lower bound is beyond the
-least upper bound of its listing cell: no store in it can win. A listing cell
-whose remaining pairs hold few stores is settled; the others are split into
-their sub-cells and searched again. So dense areas are refined further than
-empty ones, and neither a crowded store cell nor a crowded listing cell ever
-multiplies with the other.
-
-The result is a table of listing cells with their few candidate stores. The
-distinct places of the listings meet it level by level, as rows of two numbers,
-and keep their nearest candidate. The listings are joined once, with the result
-of their place; they are neither duplicated nor regrouped.
+Stores are points of the unit sphere, where the straight distance of two points
+grows with their distance on the ground and boxes know neither poles nor a date
+line. The stores of a tier are cut into shards of bounded size along a
+space-filling curve. The distinct places of the listings meet the shard whose
+box is nearest, then every other shard whose box is not farther than the
+nearest store found; with one shard there is no other.
+
+Inside a shard places and stores meet in a tree of boxes that is made on the
+fly: a box of places keeps the stores that can be nearest to one of its points,
+those no farther from it than the least distance that covers it, and is halved
+until few comparisons are left. So dense areas are refined further than empty
+ones, and neither many stores nor many places at one spot ever multiply.
+
+The listings are joined once, with the result of their place; they are neither
+duplicated nor regrouped.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline import schema as S
-from hearthline.functions.geo import haversine_miles, missing
+from hearthline.functions.geo import EARTH_RADIUS_MILES, haversine_miles, missing
 from hearthline.functions.text import concat_label
 from hearthline.session import ensure_checkpoints
 
-# Finest level: cells of about 2.4 m.
-FINEST = 12
-# Stores that a listing compares at most, per tier, in its row.
-FEW = 64
-# The search starts at the finest level with at most this many cell pairs.
-START_PAIRS = 200_000
-# Cell edges are moved out by this much (degrees), above any rounding error.
-_MARGIN = 1e-9
+#: Stores of a shard, about, and shards of a tier at most.
+SHARD, MOST_SHARDS = 1 << 15, 1024
+#: Places that one task compares with a shard, about.
+CHUNK = 1 << 16
+#: Comparisons that are made at once when a box is no longer halved.
+DENSE = 1 << 15
+# Bits of each coordinate in a place on the curve.
+_CURVE_BITS = 20
+# Straight distances on the unit sphere are kept up to this much beyond a bound,
+# above any rounding error and above the distances that count as ties.
+_MARGIN = 1e-11
 # Distances that agree to this many decimals of a mile are ties.
 _TIE_DECIMALS = 9
 
 
-def _leaf(offset_degrees: Column) -> Column:
-    cells = 4**FINEST
-    index = F.floor(offset_degrees / 360.0 * cells)
-    return F.least(F.greatest(index, F.lit(0)), F.lit(cells - 1)).cast("bigint")
-
-
-def _leaf_x(lon: Column) -> Column:
-    return _leaf(F.pmod(lon + 180.0, F.lit(360.0)))
-
-
-def _leaf_y(lat: Column) -> Column:
-    return _leaf(lat + 90.0)
-
-
-def _at(level: int, leaf: Column) -> Column:
-    """Index of the cell of a level that holds a finest cell."""
-    return F.shiftright(leaf, 2 * (FINEST - level))
-
-
-def _nearest_gap(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    return F.greatest(F.lit(0.0), b[0] - a[1], a[0] - b[1])
-
-
-def _farthest_gap(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    return F.greatest(a[1] - b[0], b[1] - a[0])
-
-
-def _span(level: int, index: Column, offset: float) -> tuple[Column, Column]:
-    side = 360.0 / 4**level
-    low = index * F.lit(side) - F.lit(offset)
-    return low - _MARGIN, low + side + _MARGIN
-
-
-def _half_sine_squared(degrees: Column) -> Column:
-    half = F.sin(F.radians(degrees) / 2)
-    return half * half
-
-
-def _cosines(lat: tuple[Column, Column]) -> tuple[Column, Column]:
-    """Least and greatest cosine over a latitude range."""
-    low, high = (F.greatest(F.least(edge, F.lit(90.0)), F.lit(-90.0)) for edge in lat)
-    at_low, at_high = F.cos(F.radians(low)), F.cos(F.radians(high))
-    crosses_equator = (low <= 0) & (high >= 0)
-    least = F.greatest(F.least(at_low, at_high), F.lit(0.0))
-    return least, F.when(crosses_equator, 1.0).otherwise(F.greatest(at_low, at_high))
-
-
-def _bounds(level: int) -> tuple[Column, Column]:
-    """Bounds on the squared half chord between points of the pair's two cells.
-
-    The haversine distance grows with it, so the pairs are compared on it.
-    """
-    q_lat, s_lat = _span(level, F.col("qy"), 90.0), _span(level, F.col("sy"), 90.0)
-    q_lon, s_lon = _span(level, F.col("qx"), 0.0), _span(level, F.col("sx"), 0.0)
-    q_cos, s_cos = _cosines(q_lat), _cosines(s_lat)
-
-    lat_near = _nearest_gap(q_lat, s_lat)
-    lat_far = F.least(_farthest_gap(q_lat, s_lat), F.lit(180.0))
-    # Longitude differences beyond half a turn are shorter the other way round.
-    straight_near, straight_far = _nearest_gap(q_lon, s_lon), _farthest_gap(q_lon, s_lon)
-    lon_near = F.greatest(F.least(straight_near, 360.0 - straight_far), F.lit(0.0))
-    lon_far = F.when(straight_near > 180.0, 360.0 - straight_near).otherwise(F.least(straight_far, F.lit(180.0)))
-
-    low = _half_sine_squared(lat_near) + q_cos[0] * s_cos[0] * _half_sine_squared(lon_near)
-    high = _half_sine_squared(lat_far) + q_cos[1] * s_cos[1] * _half_sine_squared(lon_far)
-    return low, high
-
-
-def _prune(pairs: DataFrame, level: int) -> DataFrame:
-    """Pairs that can still hold the nearest store, with the cell's store count.
-
-    The pairs of one listing cell are few: at the start all pairs together are
-    bounded, later a cell holds what its parent kept, times sixteen.
-    """
-    low, high = _bounds(level)
-    of_cell = Window.partitionBy("tier", "qx", "qy")
-    bounded = pairs.withColumns({"low": low, "high": high}).withColumn("reach", F.min("high").over(of_cell))
-    kept = bounded.filter(F.col("low") <= F.col("reach"))
-    return kept.select("tier", "qx", "qy", "sx", "sy", "n", F.sum("n").over(of_cell).alias("total"))
-
-
-def _cells(leaves: DataFrame, level: int, x: str, y: str, *keys: str) -> DataFrame:
-    """Occupied cells of a level, with the cell of the level above."""
-    at = leaves.groupBy(*keys, _at(level, F.col("x")).alias(x), _at(level, F.col("y")).alias(y))
-    out = at.agg(F.sum("n").alias("n")) if "n" in leaves.columns else at.agg(F.lit(1).alias("one")).drop("one")
-    return out.withColumns({f"{x}_up": F.shiftright(x, 2), f"{y}_up": F.shiftright(y, 2)})
-
-
-def _search(listing_leaves: DataFrame, store_leaves: DataFrame, tiers: Sequence[str], few: int, start_pairs: int):
-    """Yield (level, pairs) with the settled pairs of every level reached."""
-    levels = range(1, FINEST + 1)
-
-    # Occupied cells of both sides per level, estimated in one job: they only
-    # choose where to start.
-    both = listing_leaves.select(F.lit(0).alias("side"), "x", "y").unionByName(
-        store_leaves.select(F.lit(1).alias("side"), "x", "y")
-    )
-    estimates = [
-        F.approx_count_distinct(F.struct(_at(lv, F.col("x")), _at(lv, F.col("y")))).alias(f"l{lv}") for lv in levels
-    ]
-    sizes = {row["side"]: list(row)[1:] for row in both.groupBy("side").agg(*estimates).collect()}
-    none = [0] * len(levels)
-    listing_sizes, store_sizes = sizes.get(0, none), sizes.get(1, none)
-    # Level 1 has 8 cells, so the first choice always exists.
-    start = max(
-        (lv for lv in levels if lv == 1 or listing_sizes[lv - 1] * store_sizes[lv - 1] * len(tiers) <= start_pairs),
-    )
-
-    tier_names = F.explode(F.array(*[F.lit(t) for t in tiers])).alias("tier")
-    listing_cells = _cells(listing_leaves, start, "qx", "qy").select("*", tier_names)
-    store_cells = _cells(store_leaves, start, "sx", "sy", "tier")
-    pairs = listing_cells.join(store_cells, "tier").select("tier", "qx", "qy", "sx", "sy", "n")
-
-    for level in range(start, FINEST + 1):
-        kept = _prune(pairs, level).checkpoint()
-        settled = F.col("total") <= few
-        if level == FINEST:
-            yield level, kept
-            return
-        yield level, kept.filter(settled)
-        open_pairs = kept.filter(~settled)
-        if open_pairs.isEmpty():
-            return
-        listing_cells = _cells(listing_leaves, level + 1, "cx", "cy")
-        store_cells = _cells(store_leaves, level + 1, "dx", "dy", "tier")
-        pairs = (
-            open_pairs.drop("n")
-            .join(listing_cells, [F.col("qx") == F.col("cx_up"), F.col("qy") == F.col("cy_up")])
-            .drop("qx", "qy")
-            .join(
-                store_cells.withColumnRenamed("tier", "d_tier"),
-                [
-                    F.col("tier") == F.col("d_tier"),
-                    F.col("sx") == F.col("dx_up"),
-                    F.col("sy") == F.col("dy_up"),
-                ],
-            )
-            .select(
-                "tier",
-                F.col("cx").alias("qx"),
-                F.col("cy").alias("qy"),
-                F.col("dx").alias("sx"),
-                F.col("dy").alias("sy"),
-                "n",
-            )
-        )
+def _on_sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    lat, lon = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
+
+
+def _near_far(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest straight distance between points and boxes."""
+    near = np.maximum(np.maximum(low - points, points - high), 0)
+    far = np.maximum(np.abs(points - low), np.abs(points - high))
+    return np.sqrt((near**2).sum(axis=-1)), np.sqrt((far**2).sum(axis=-1))
+
+
+def _miles(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    lat1, lon1, lat2, lon2 = (np.radians(v) for v in (lat1, lon1, lat2, lon2))
+    chord = np.sin((lat2 - lat1) / 2) ** 2 + np.cos(lat1) * np.cos(lat2) * np.sin((lon2 - lon1) / 2) ** 2
+    return 2 * EARTH_RADIUS_MILES * np.arcsin(np.sqrt(np.minimum(chord, 1)))
+
+
+def nearest_of(place_lat: np.ndarray, place_lon: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """For each place the first of the stores that are nearest to it."""
+    places, stores = _on_sphere(place_lat, place_lon), _on_sphere(lat, lon)
+    best = np.zeros(len(places), np.int64)
+    boxes = [(np.arange(len(places)), np.arange(len(stores)))]
+    while boxes:
+        inside, able = boxes.pop()
+        low, high = places[inside].min(axis=0), places[inside].max(axis=0)
+        near, far = _near_far(stores[able], low, high)
+        able = able[near <= far.min() + _MARGIN]
+        if len(inside) > 1 and len(inside) * len(able) > DENSE and (low < high).any():
+            axis = int(np.argmax(high - low))
+            along = places[inside, axis]
+            # The mean lies between both ends, so no half is empty.
+            left = along <= min(along.mean(), np.nextafter(high[axis], -2))
+            boxes += [(inside[left], able), (inside[~left], able)]
+            continue
+        step = max(1, DENSE // len(able))
+        for some in np.split(inside, range(step, len(inside), step)):
+            miles = _miles(place_lat[some][:, None], place_lon[some][:, None], lat[able], lon[able])
+            best[some] = able[np.argmin(np.round(miles, _TIE_DECIMALS), axis=1)]
+    return best
 
 
 def _store_points(stores: DataFrame, tiers: Sequence[str]) -> DataFrame:
-    """One row per tier and place; of stores at one place the first one wins."""
+    """One row per tier and place, with its place on the curve; of stores at one place the first one wins."""
     usable = stores.filter(F.col("tier").isin(*tiers) & ~missing(F.col("lat")) & ~missing(F.col("lng")))
-    return (
-        usable.groupBy("tier", "lat", "lng")
-        .agg(F.min(F.struct("store_order", concat_label(F.col("name"), F.col("address")).alias("label"))).alias("first"))
-        .select("tier", "lat", "lng", "first.*")
-        .withColumns({"x": _leaf_x(F.col("lng")), "y": _leaf_y(F.col("lat"))})
-    )
-
-
-def _candidates(points: DataFrame, level: int, pairs: DataFrame, few: int) -> DataFrame:
-    """Stores of the kept cells, per listing cell and tier, in chunks.
-
-    A settled cell has one chunk. A finest cell with more stores than ``few``
-    gets as many as it needs, so that no array grows without bound.
-    """
-    placed = points.withColumns({"sx": _at(level, F.col("x")), "sy": _at(level, F.col("y"))})
-    matched = pairs.join(placed, ["tier", "sx", "sy"])
-    chunks = F.ceil(F.col("total") / few).cast("int")
-    return (
-        matched.withColumn("chunk", F.pmod(F.xxhash64("store_order", "lat", "lng"), chunks))
-        .groupBy("tier", "qx", "qy", "total", "chunk")
-        .agg(F.collect_list(F.struct("lat", "lng", "store_order", "label")).alias("stores"))
-    )
-
-
-def _stores_of(tier: str) -> Column:
-    return F.collect_list(
-        F.when(F.col("tier") == tier, F.struct("lat", "lng", "store_order", "label"))
-    )
-
-
-def _best(stores: Column, lat: Column, lon: Column) -> Column:
-    """Nearest of an array of stores: distance, then store order."""
-
-    def measured(store: Column) -> Column:
-        distance = haversine_miles(lat, lon, store["lat"], store["lng"])
-        return F.struct(
-            distance.alias("distance"), store["store_order"].alias("store_order"), store["label"].alias("label")
-        )
-
-    def ranked(store: Column) -> Column:
-        return F.struct(
-            F.round(store["distance"], _TIE_DECIMALS).alias("rank"),
-            store["store_order"].alias("store_order"),
-            store["distance"].alias("distance"),
-            store["label"].alias("label"),
-        )
-
-    return F.array_min(F.transform(F.transform(stores, measured), ranked))
-
-
-def _crowded_points(places: DataFrame, crowded: DataFrame, tiers: Sequence[str]) -> DataFrame:
-    """Nearest store per distinct place, for finest cells with several chunks."""
-    at_leaf = places.select("p_lat", "p_lon", F.col("_x").alias("qx"), F.col("_y").alias("qy"))
-    per_chunk = at_leaf.join(crowded, ["qx", "qy"]).withColumn(
-        "best", _best(F.col("stores"), F.col("p_lat"), F.col("p_lon"))
-    )
-    return per_chunk.groupBy("p_lat", "p_lon").agg(
-        *[F.min(F.when(F.col("tier") == t, F.col("best"))).alias(f"crowded_{t}") for t in tiers]
-    )
-
-
-def _with_best(
-    listings: DataFrame,
-    stores: DataFrame,
-    lat: str,
-    lon: str,
-    tiers: Sequence[str],
-    few: int,
-    start_pairs: int,
-) -> DataFrame:
+    first = F.min(F.struct("store_order", concat_label(F.col("name"), F.col("address")).alias("label"))).alias("first")
+    points = usable.groupBy("tier", F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")).agg(first)
+
+    def coordinate(share: Column) -> Column:
+        return F.floor(share * (1 << _CURVE_BITS)).cast("long")
+
+    x, y = coordinate(F.pmod(F.col("lng") + 180.0, F.lit(360.0)) / 360.0), coordinate((F.col("lat") + 90.0) / 180.0)
+    # Bits of both coordinates in turn.
+    bits = [
+        F.shiftleft(F.shiftright(c, bit).bitwiseAND(F.lit(1)), 2 * bit + side)
+        for bit in range(_CURVE_BITS)
+        for side, c in enumerate((F.col("_x"), F.col("_y")))
+    ]
+    curve = bits[0]
+    for bit in bits[1:]:
+        curve = curve.bitwiseOR(bit)
+    placed = points.select("tier", "lat", "lng", "first.*").withColumns({"_x": x, "_y": y})
+    return placed.withColumn("curve", curve).drop("_x", "_y")
+
+
+def _sharded(points: DataFrame, size: int) -> tuple[DataFrame, dict[str, np.ndarray]]:
+    """Points with their shard, and for each tier the shards' boxes (low, high); a bounded number of them."""
+    counts = {r["tier"]: r["count"] for r in points.groupBy("tier").count().collect()}
+    shards = {tier: min(MOST_SHARDS, math.ceil(n / size)) for tier, n in counts.items()}
+    shares = [k / max(shards.values(), default=1) for k in range(1, max(shards.values(), default=1))]
+    shard = F.lit(0)
+    if shares:
+        # Where a shard ends on the curve, by a sketch: how even shards are matters little.
+        cuts = {r[0]: r[1] for r in points.groupBy("tier").agg(F.percentile_approx("curve", shares, 20_000)).collect()}
+        for tier, ends in cuts.items():
+            ends = sorted({ends[k * len(ends) // shards[tier]] for k in range(1, shards[tier])})
+            place = F.size(F.filter(F.lit(ends), lambda end: end <= F.col("curve"))) if ends else F.lit(0)
+            shard = F.when(F.col("tier") == tier, place).otherwise(shard)
+    sharded = points.withColumn("shard", shard.cast("int"))
+    lat, lon = F.radians("lat"), F.radians("lng")
+    axes = (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))
+    ends = [f(axis).alias(f"{name}{k}") for k, axis in enumerate(axes) for name, f in (("low", F.min), ("high", F.max))]
+    boxes: dict[str, list] = {}
+    for row in sharded.groupBy("tier", "shard").agg(*ends).collect():
+        low_high = [[row[f"{name}{k}"] for k in range(3)] for name in ("low", "high")]
+        boxes.setdefault(row["tier"], []).append((row["shard"], low_high))
+    # Outward, as the JVM's sines may differ in the last place.
+    grown = np.array([[-_MARGIN], [_MARGIN]])
+    return sharded, {tier: (np.array([n for n, _ in found]), np.array([b for _, b in found]) + grown) for tier, found in boxes.items()}
+
+
+_AT = ["tier", "p_lat", "p_lon", "shard"]
+_AT_SCHEMA = "tier string, p_lat double, p_lon double, shard int"
+
+
+def _route(boxes: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places to the shard with the nearest box, or, where a distance is known, to the others within it."""
+    for batch in batches:
+        lat, lon = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("p_lat", "p_lon"))
+        points = _on_sphere(lat, lon)
+        for tier, (shards, box) in boxes.items():
+            rows = np.arange(len(lat))
+            if "tier" in batch.schema.names:
+                rows = np.flatnonzero(np.array(batch.column("tier").to_pylist(), object) == tier)
+            if not len(rows):
+                continue
+            step = max(1, (1 << 20) // len(shards))
+            for some in np.split(rows, range(step, len(rows), step)):
+                near, _ = _near_far(points[some][:, None], box[:, 0], box[:, 1])
+                if "tier" in batch.schema.names:
+                    miles = batch.column("distance").to_numpy(zero_copy_only=False)[some]
+                    reach = 2 * np.sin(np.minimum(miles / (2 * EARTH_RADIUS_MILES), np.pi / 2)) + _MARGIN
+                    been = batch.column("shard").to_numpy(zero_copy_only=False)[some]
+                    which, to = np.nonzero((near <= reach[:, None]) & (shards != been[:, None]))
+                else:
+                    which, to = np.arange(len(some)), np.argmin(near, axis=1)
+                at = some[which]
+                columns = [pa.array([tier] * len(at), pa.string()), pa.array(lat[at]), pa.array(lon[at]), pa.array(shards[to], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=_AT)
+
+
+def _meet(places: pa.Table, stores: pa.Table) -> pa.Table:
+    """The nearest store of the shard for each place."""
+    at = places.select(_AT)
+    if not (places.num_rows and stores.num_rows):
+        rows = stores.slice(0, 0)
+        at = at.slice(0, 0)
+    else:
+        # In the order that decides between equally near ones.
+        stores = stores.sort_by([("store_order", "ascending"), ("label", "ascending")])
+        lat, lon = (stores.column(c).to_numpy() for c in ("lat", "lng"))
+        best = nearest_of(at.column("p_lat").to_numpy(), at.column("p_lon").to_numpy(), lat, lon)
+        rows = stores.take(pa.array(best))
+    for name in ("lat", "lng", "store_order", "label"):
+        at = at.append_column(name, rows.column(name))
+    return at
+
+
+def _searched(places: DataFrame, sharded: DataFrame) -> DataFrame:
+    """Places with the nearest store of their shard; crowded shards are met in chunks of places."""
+    chunks = places.groupBy("tier", "shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("p_lat", "p_lon"), F.col("chunks")).cast("int").alias("chunk")
+    left = places.join(chunks, ["tier", "shard"]).select(*_AT, chunk)
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    right = sharded.join(chunks, ["tier", "shard"]).select("tier", "shard", "lat", "lng", "store_order", "label", every)
+    kept = sharded.select("lat", "lng", "store_order", "label").schema
+    shape = T.StructType([*T.StructType.fromDDL(_AT_SCHEMA).fields, *kept.fields])
+    keys = ["tier", "shard", "chunk"]
+    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_meet, shape)
+    return met.withColumn("distance", haversine_miles(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lng")))
+
+
+def _with_best(listings: DataFrame, stores: DataFrame, lat: str, lon: str, tiers: Sequence[str], shard: int) -> DataFrame:
     """Listings plus one struct column ``_best_<tier>`` per tier."""
     ensure_checkpoints(listings.sparkSession)
-    points = _store_points(stores, tiers).checkpoint()
+    sharded, boxes = _sharded(_store_points(stores, tiers).checkpoint(), shard)
     own = [F.col(f"`{c}`") for c in listings.columns]
-
-    # A short store list, as one search area has: every listing compares all of
-    # it. The list is a scalar of at most ``few`` entries per tier, so listings
-    # are neither scanned beforehand nor shuffled.
-    largest = points.groupBy("tier").count().agg(F.max("count")).first()[0] or 0
-    if largest <= few:
-        row = points.agg(*[_stores_of(t).alias(t) for t in tiers])
-        listed = listings.select(*own, *[row.select(t).scalar().alias(f"_stores_{t}") for t in tiers])
-        return listed.select(
-            *own, *[_best(F.col(f"_stores_{t}"), F.col(lat), F.col(lon)).alias(f"_best_{t}") for t in tiers]
-        )
-
     known = ~missing(F.col(lat)) & ~missing(F.col(lon))
-    # Listings as counts of places: the only pass over them before the last join.
-    listing_leaves = (
-        listings.filter(known)
-        .select(_leaf_x(F.col(lon)).alias("x"), _leaf_y(F.col(lat)).alias("y"))
-        .distinct()
-        .checkpoint()
-    )
-    store_leaves = points.groupBy("tier", "x", "y").agg(F.count("*").alias("n"))
-
-    # The levels are met by distinct places, two numbers each. The listings
-    # themselves are joined once, with their place's result.
-    out = (
-        listings.filter(known)
-        .select(F.col(lat).alias("p_lat"), F.col(lon).alias("p_lon"))
-        .distinct()
-        .withColumns({"_x": _leaf_x(F.col("p_lon")), "_y": _leaf_y(F.col("p_lat"))})
-    )
-    place = (F.col("p_lat"), F.col("p_lon"))
-    found: dict[str, list[Column]] = {t: [] for t in tiers}
-    for level, pairs in _search(listing_leaves, store_leaves, tiers, few, start_pairs):
-        candidates = _candidates(points, level, pairs, few)
-        if level == FINEST:
-            crowded = candidates.filter(F.col("total") > few)
-            candidates = candidates.filter(F.col("total") <= few)
-        cells = candidates.groupBy("qx", "qy").agg(
-            *[
-                F.first(F.when(F.col("tier") == t, F.col("stores")), ignorenulls=True).alias(f"_{level}_{t}")
-                for t in tiers
-            ]
-        )
-        out = out.join(
-            cells.checkpoint(), [_at(level, F.col("_x")) == F.col("qx"), _at(level, F.col("_y")) == F.col("qy")], "left"
-        )
-        # Only the nearest of a level's stores goes on, not the list.
-        kept = [c for c in out.columns if c not in ("qx", "qy") and not c.startswith(f"_{level}_")]
-        out = out.select(*kept, *[_best(F.col(f"_{level}_{t}"), *place).alias(f"_at_{level}_{t}") for t in tiers])
-        for t in tiers:
-            found[t].append(F.col(f"_at_{level}_{t}"))
-        if level == FINEST:
-            places = _crowded_points(out, crowded, tiers)
-            out = out.join(places, ["p_lat", "p_lon"], "left")
-            for t in tiers:
-                found[t].append(F.col(f"crowded_{t}"))
-    best = [functools.reduce(F.coalesce, columns).alias(f"_best_{t}") for t, columns in found.items()]
-    results = out.select("p_lat", "p_lon", *best)
+
+    # Only distinct places travel, as two numbers each.
+    place = [F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon")]
+    places = listings.filter(known).select(*place).distinct()
+    first = places.mapInArrow(lambda rows: _route(boxes, rows), _AT_SCHEMA)
+    found = _searched(first, sharded).checkpoint()
+    others = found.select(*_AT, "distance").mapInArrow(lambda rows: _route(boxes, rows), _AT_SCHEMA)
+    every = found.unionByName(_searched(others, sharded))
+    ranked = F.struct(F.round("distance", _TIE_DECIMALS).alias("rank"), "store_order", "distance", "label")
+    results = every.groupBy("p_lat", "p_lon").agg(*[F.min(F.when(F.col("tier") == t, ranked)).alias(f"_best_{t}") for t in tiers])
 
     # Rows without coordinates match no place; they are spread over made-up
     # ones instead of meeting in one task on a null key.
@@ -339,8 +231,7 @@ def nearest_store_wide(
     lat: str = "latitude",
     lon: str = "longitude",
     tiers: Sequence[str] = tuple(S.TIERS),
-    few: int = FEW,
-    start_pairs: int = START_PAIRS,
+    shard: int = SHARD,
 ) -> DataFrame:
     """Every listing with distance and label of the nearest store per tier.
 
@@ -349,7 +240,7 @@ def nearest_store_wide(
     is null and the label ``N/A``; a tier without stores gives nulls.
     Latitudes must lie in -90..90; longitudes may use any turn.
     """
-    best = _with_best(listings, stores, lat, lon, tiers, few, start_pairs)
+    best = _with_best(listings, stores, lat, lon, tiers, shard)
     unplaced = missing(F.col(lat)) | missing(F.col(lon))
     columns: list[Column] = [F.col(f"`{c}`") for c in listings.columns]
     for t in tiers:
@@ -365,11 +256,10 @@ def nearest_store(
     lat: str = "latitude",
     lon: str = "longitude",
     tiers: Sequence[str] = tuple(S.TIERS),
-    few: int = FEW,
-    start_pairs: int = START_PAIRS,
+    shard: int = SHARD,
 ) -> DataFrame:
     """The same in long form: one row per listing and tier."""
-    wide = nearest_store_wide(listings, stores, lat, lon, tiers, few, start_pairs)
+    wide = nearest_store_wide(listings, stores, lat, lon, tiers, shard)
     rows = F.array(
         *[
             F.struct(

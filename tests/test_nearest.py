@@ -63,7 +63,7 @@ def stores_at(lat, lon, tiers=("a", "b")):
     ]
 
 
-LIMITS = [dict(), dict(few=3, start_pairs=100), dict(few=1, start_pairs=10)]
+LIMITS = [dict(), dict(shard=40), dict(shard=3)]
 
 
 @pytest.mark.parametrize("limits", LIMITS[:2])
@@ -96,19 +96,19 @@ def test_hot_spots_on_both_sides(spark, limits):
     check(spark, homes_at(lat, lon), stores_at(store_lat, store_lon), **limits)
 
 
-def test_more_stores_in_the_finest_cell_than_compared_per_row(spark):
+def test_crowds_at_one_spot(spark):
     rng = np.random.default_rng(4)
     homes = homes_at(34.0 + rng.uniform(0, 1e-6, 30), -118.4 + rng.uniform(0, 1e-6, 30))
     homes += [(100 + i, a, b) for i, a, b in homes_at(rng.uniform(33, 35, 20), rng.uniform(-119, -118, 20))]
     crowd = stores_at(34.0 + rng.uniform(0, 1e-6, 60), -118.4 + rng.uniform(0, 1e-6, 60))
     far = [("a", 500, "far", "x", 34.5, -118.9)]
-    check(spark, homes, crowd + far, few=4, start_pairs=10)
+    check(spark, homes, crowd + far, shard=7)
 
 
 def test_ring_of_equal_distances(spark):
     """All stores as far from the home as each other: nothing can be pruned."""
     angles = np.linspace(0, 2 * np.pi, 40, endpoint=False)
-    check(spark, [(1, 0.0, 0.0)], stores_at(np.sin(angles), np.cos(angles)), few=4, start_pairs=10)
+    check(spark, [(1, 0.0, 0.0)], stores_at(np.sin(angles), np.cos(angles)), shard=7)
 
 
 @pytest.mark.parametrize("limits", LIMITS[::2])
@@ -128,6 +128,19 @@ def test_no_stores_at_all(spark):
     check(spark, [(1, 34.0, -118.0), (2, None, None)], [("c", 1, "other", "x", 34.0, -118.0)])
 
 
+def test_boxes_leave_few_comparisons(monkeypatch):
+    """Many places and many stores, at one spot and spread out, with ties."""
+    monkeypatch.setattr(N, "DENSE", 64)
+    rng = np.random.default_rng(6)
+    lat, lon = np.round(world(rng, 400), 0)
+    s_lat, s_lon = np.round(world(rng, 300), 0)
+    lat[:100], lon[:100] = 12.0, 34.0
+    s_lat[:80], s_lon[:80] = 12.5 + rng.uniform(0, 1e-6, 80), 34.0
+    got = N.nearest_of(lat, lon, s_lat, s_lon)
+    want = [int(np.argmin(np.round(miles(a, b, s_lat, s_lon), 9))) for a, b in zip(lat, lon, strict=True)]
+    assert got.tolist() == want
+
+
 def test_wide_form_keeps_other_columns(spark):
     homes = spark.createDataFrame([(1, "x", 34.0, -118.0)], "`id` int, `w/d.in unit` string, latitude double, longitude double")
     stores = spark.createDataFrame([("budget", 1, "S", "A", 34.0, -118.0)], S.STORES)

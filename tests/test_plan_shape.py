@@ -13,11 +13,10 @@ from hearthline.plans.listing_pages import page_to_listing
 MAPS = """
 html_text_field html_attributes page_to_listing multi_hot_encode cast_flags_int rename_map master_schema_project
 drop_sentinel_title bbox_filter money_parse haversine_miles price_map_points store_search_radius train_test_split
-nearest_store_wide
 """.split()
 # One shuffle of combined rows.
 GROUPED = ["attribute_counts", "value_counts", "dedup_rows", "nearest_argmin"]
-JOINED = ["geocode_lookup", "dedup_by_url", "daily_listings", "nearest_store_refined"]
+JOINED = ["geocode_lookup", "dedup_by_url", "daily_listings", "nearest_store_wide", "nearest_store_refined"]
 
 
 def plan(spark, small, name):
@@ -30,9 +29,6 @@ def test_rows_never_move(spark, small, name):
     text = plan(spark, small, name)
     # Pages made from the tables are dealt to the cores before the operator runs.
     moved = [line for line in text.splitlines() if " Exchange " in line and "RoundRobin" not in line]
-    if name == "nearest_store_wide":
-        # The store list is gathered once, as a scalar.
-        moved = [line for line in moved if "SinglePartition" not in line]
     assert not moved and text.count("RoundRobin") <= (name in ("html_attributes", "page_to_listing"))
     assert "Eval" not in text and "MapInPandas" not in text
 
