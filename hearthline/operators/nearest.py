@@ -96,21 +96,12 @@ def _store_points(stores: DataFrame, tiers: Sequence[str]) -> DataFrame:
     first = F.min(F.struct("store_order", concat_label(F.col("name"), F.col("address")).alias("label"))).alias("first")
     points = usable.groupBy("tier", F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")).agg(first)
 
-    def coordinate(share: Column) -> Column:
-        return F.floor(share * (1 << _CURVE_BITS)).cast("long")
-
-    x, y = coordinate(F.pmod(F.col("lng") + 180.0, F.lit(360.0)) / 360.0), coordinate((F.col("lat") + 90.0) / 180.0)
+    x, y = F.pmod(F.col("lng") + 180.0, F.lit(360.0)) / 360.0, (F.col("lat") + 90.0) / 180.0
+    cells = {name: F.floor(share * (1 << _CURVE_BITS)) for name, share in (("_x", x), ("_y", y))}
+    placed = points.select("tier", "lat", "lng", "first.*").withColumns(cells)
     # Bits of both coordinates in turn.
-    bits = [
-        F.shiftleft(F.shiftright(c, bit).bitwiseAND(F.lit(1)), 2 * bit + side)
-        for bit in range(_CURVE_BITS)
-        for side, c in enumerate((F.col("_x"), F.col("_y")))
-    ]
-    curve = bits[0]
-    for bit in bits[1:]:
-        curve = curve.bitwiseOR(bit)
-    placed = points.select("tier", "lat", "lng", "first.*").withColumns({"_x": x, "_y": y})
-    return placed.withColumn("curve", curve).drop("_x", "_y")
+    bits = [f"shiftleft(shiftright({c}, {k}) & 1, {2 * k + side})" for k in range(_CURVE_BITS) for side, c in enumerate(cells)]
+    return placed.withColumn("curve", F.expr(" | ".join(bits))).drop(*cells)
 
 
 def _sharded(points: DataFrame, size: int) -> tuple[DataFrame, dict[str, np.ndarray]]:
