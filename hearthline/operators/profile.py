@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from hearthline import schema as S
 from hearthline.functions.text import flag_label
 from hearthline.operators.projection import frame_from_rows, quoted
-from hearthline.operators.quantiles import clean_number, exact_quantiles
+from hearthline.operators.quantiles import clean_number, column_facts, exact_quantiles
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -37,8 +37,13 @@ def flag_distribution(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 def flag_cardinality(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Number of distinct non-null values per flag."""
-    row = df.agg(*[F.count_distinct(quoted(f)).alias(f"d{i}") for i, f in enumerate(flags)])
+    """Number of distinct non-null values per flag, for columns of few values.
+
+    Every task keeps the set of values of each flag and ships one row, so rows
+    are neither multiplied by the number of flags nor shuffled. A column of very
+    many values belongs in a distinct count of its own.
+    """
+    row = df.agg(*[F.size(F.collect_set(quoted(f))).cast("long").alias(f"d{i}") for i, f in enumerate(flags)])
     return row.select(
         F.inline(
             F.array(
@@ -86,21 +91,14 @@ _MOMENTS = "column string, count bigint, mean double, std double, min double, ma
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per column.
 
-    One scan for the moments, whose single row also bounds the quartile search.
+    The scan for the moments also brackets the quartiles; two more settle them.
     """
-    parts = []
-    for i, c in enumerate(columns):
-        value = clean_number(c)
-        parts += [
-            F.count(value).alias(f"n{i}"),
-            F.avg(value).alias(f"m{i}"),
-            F.stddev_samp(value).alias(f"s{i}"),
-            F.min(value).alias(f"l{i}"),
-            F.max(value).alias(f"h{i}"),
-        ]
-    row = df.agg(*parts).first()
-    moments = [(c, *(row[f"{k}{i}"] for k in "nmslh")) for i, c in enumerate(columns)]
-    facts = {c: (n, low, high) for c, n, _, _, low, high in moments}
+    columns = list(dict.fromkeys(columns))
+    extra = [f(clean_number(c)) for c in columns for f in (F.avg, F.stddev_samp)]
+    facts, row = column_facts(df, columns, [0.25, 0.5, 0.75], extra)
+    moments = [
+        (c, f.count, row[f"x{2 * i}"], row[f"x{2 * i + 1}"], f.low, f.high) for i, (c, f) in enumerate(facts.items())
+    ]
 
     def quartile(fraction: float) -> Column:
         return F.max(F.when(F.col("fraction") == fraction, F.col("value")))

@@ -2,10 +2,12 @@
 
 Spark's exact ``percentile`` merges all distinct values of a column in one
 task, and a global sort would move every row. Here the column is only scanned,
-whatever its size: a bounded sketch brackets each wanted rank, exact counts
-confirm the bracket, and only the few values inside it are grouped and ranked.
-A bracket that is still large is narrowed by another scan; one that a sketch
-does not tighten is halved by value instead, so the ranking is always short.
+whatever its size. The scan that takes count and range also builds a mergeable
+sketch, which brackets each wanted rank; a second scan confirms the brackets by
+exact counts, and in a third the few values inside them are grouped and ranked.
+On very large tables a bracket that is still large is narrowed by further
+sketches; one that a sketch does not tighten is halved by value instead, so the
+ranking is always short.
 Values that occur very often arrive at it as one row with a count.
 """
 
@@ -16,12 +18,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from hearthline.operators.projection import frame_from_rows, quoted
 
-# Sketch accuracy: ranks are bracketed to about 1 / ACCURACY of the rows.
+# Size of the first sketch. It is off by about 2.3 / SKETCH ** 0.9 of all ranks;
+# three times that is allowed for.
+SKETCH = 4096
+# Accuracy of further sketches: ranks are bracketed to about 1 / ACCURACY of the rows.
 ACCURACY = 10_000
 # A bracket with at most this many rows goes to the ranking step.
 RANKED_ROWS = 200_000
@@ -83,6 +88,11 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
         for position, i in enumerate(members):
             ends[i] = values[2 * position], values[2 * position + 1]
 
+    _confirm(df, todo, [ends[i] for i in range(len(todo))])
+
+
+def _confirm(df: DataFrame, todo: list[_Bracket], ends: Sequence[tuple[float, float]]) -> None:
+    """Count what lies below and up to the proposed ends; take those that hold their ranks."""
     counted = []
     for i, b in enumerate(todo):
         value, (low, high) = clean_number(b.column), ends[i]
@@ -153,45 +163,77 @@ def _ranked(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
     )
 
 
-def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int, int]], facts: dict[str, tuple]) -> list[_Bracket]:
-    out = []
-    for column, first, last in wanted:
-        n, low, high = facts[column]
-        out.append(_Bracket(column, first, last, low, high, 0, n, settled=n <= RANKED_ROWS // 100 or low == high))
+@dataclass
+class Facts:
+    """Count and range of a column, and between which values a sketch sees each fraction."""
+
+    count: int
+    low: float | None
+    high: float | None
+    ends: dict[float, tuple[float, float]]
+
+
+def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int, int, float | None]], facts: dict[str, Facts]) -> list[_Bracket]:
+    out, proposed = [], []
+    for column, first, last, fraction in wanted:
+        f = facts[column]
+        bracket = _Bracket(column, first, last, f.low, f.high, 0, f.count, settled=f.count <= RANKED_ROWS // 100 or f.low == f.high)
+        out.append(bracket)
+        if not bracket.settled and fraction in f.ends:
+            proposed.append((bracket, f.ends[fraction]))
+    if proposed:
+        _confirm(df, [b for b, _ in proposed], [ends for _, ends in proposed])
+        for b, _ in proposed:
+            b.halve = False
     while not all(b.settled for b in out):
         _narrow(df, out)
     return out
 
 
-def _facts(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    parts = []
+def column_facts(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], extra: Sequence[Column] = ()
+) -> tuple[dict[str, Facts], Row]:
+    """Facts of the columns, and the values of further aggregates, from one scan."""
+    parts, out = [], []
+    # The sketch's error, and the ranks around a fraction where that counts: in columns that are not ranked at once.
+    room = 3 * 2.3 / SKETCH**0.9 + 200.0 / RANKED_ROWS
+    ranks = [end for f in fractions for end in (max(f - room, 0.0), min(f + room, 1.0))]
     for i, c in enumerate(columns):
-        value = clean_number(c)
+        value, n = clean_number(c), F.col(f"n{i}")
         parts += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"l{i}"), F.max(value).alias(f"h{i}")]
-    row = df.agg(*parts).first()
-    return {c: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns)}
+        out += [f"n{i}", f"l{i}", f"h{i}"]
+        if fractions:
+            parts.append(F.kll_sketch_agg_double(value, SKETCH).alias(f"k{i}"))
+            out.append(F.when(n > 0, F.kll_sketch_get_quantile_double(f"k{i}", F.array(*map(F.lit, ranks)))).alias(f"e{i}"))
+    names = [f"x{i}" for i, _ in enumerate(extra)]
+    row = df.agg(*parts, *[x.alias(name) for name, x in zip(names, extra, strict=True)]).select(*out, *names).first()
+    facts = {}
+    for i, c in enumerate(columns):
+        ends = row[f"e{i}"] if fractions and row[f"n{i}"] else None
+        known = {f: (ends[2 * k], ends[2 * k + 1]) for k, f in enumerate(fractions)} if ends else {}
+        facts[c] = Facts(row[f"n{i}"], row[f"l{i}"], row[f"h{i}"], known)
+    return facts, row
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], facts: dict[str, tuple] | None = None
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], facts: dict[str, Facts] | None = None
 ) -> DataFrame:
     """(column, fraction, value) with linear interpolation between ranks.
 
     Nulls and NaN are left out; a column without values gives null. A caller
-    that knows count, minimum and maximum of the columns can pass them and
-    save a scan.
+    that has the facts of the columns can pass them and save a scan.
     """
     columns = list(dict.fromkeys(columns))
-    facts = facts or _facts(df, columns)
+    facts = facts or column_facts(df, columns, fractions)[0]
     targets, wanted = [], []
     for c in columns:
-        n = facts[c][0]
+        n = facts[c].count
         for f in fractions:
             if n:
                 position = f * (n - 1)
                 first = math.floor(position)
                 targets.append((c, float(f), len(wanted), float(position - first)))
-                wanted.append((c, first, min(first + 1, n - 1)))
+                wanted.append((c, first, min(first + 1, n - 1), f))
             else:
                 targets.append((c, float(f), -1, 0.0))
     plan = frame_from_rows(df.sparkSession, targets, "column string, fraction double, wanted int, share double")
@@ -204,8 +246,8 @@ def exact_quantiles(
 
 def value_at_rank(df: DataFrame, column: str, rank: int) -> DataFrame:
     """One row, one column ``value``: the value at a rank counted from 0."""
-    facts = _facts(df, [column])
-    if not 0 <= rank < facts[column][0]:
-        raise ValueError(f"rank {rank} is outside the {facts[column][0]} values")
-    ranked = _ranked(df, _brackets(df, [(column, rank, rank)], facts))
+    facts, _ = column_facts(df, [column], ())
+    if not 0 <= rank < facts[column].count:
+        raise ValueError(f"rank {rank} is outside the {facts[column].count} values")
+    ranked = _ranked(df, _brackets(df, [(column, rank, rank, None)], facts))
     return ranked.select(F.col("lower").alias("value"))

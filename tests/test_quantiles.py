@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hearthline.operators import profile as P
 from hearthline.operators import quantiles as Q
 
 FRACTIONS = [0.0, 0.25, 0.333, 0.5, 0.75, 0.9, 1.0]
@@ -29,6 +30,7 @@ def path(request, monkeypatch):
         monkeypatch.setattr(Q, "RANKED_ROWS", 200 if request.param == "one scan" else 20)
         # A sketch this coarse never tightens a bracket.
         monkeypatch.setattr(Q, "ACCURACY", 1 if request.param == "halved" else 100)
+        monkeypatch.setattr(Q, "SKETCH", 8 if request.param == "halved" else 64)
     return request.param
 
 
@@ -61,6 +63,23 @@ def test_value_at_rank(spark, path):
         Q.value_at_rank(df, "x", 2000)
 
 
+def test_three_scans(spark, tmp_path):
+    """Facts with a sketch, counts, ranking: the table is read three times."""
+    path = str(tmp_path / "rows")
+    spark.range(50_000).select((F.col("id") * 7919 % 50_021).cast("double").alias("x"), F.sqrt("id").alias("y")).write.parquet(path)
+    spark.sparkContext.setJobGroup("scans", "scans")
+    try:
+        described = P.describe_numeric(spark.read.schema("x double, y double").parquet(path), ["x", "y"])
+        eager = len(spark.sparkContext.statusTracker().getJobIdsForGroup("scans"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Two aggregates of one row; each runs its scan and its final step as jobs.
+    assert eager <= 4 and described._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan") == 1
+    want = np.quantile(np.arange(50_000) * 7919 % 50_021, [0.25, 0.5, 0.75])
+    row = {r["column"]: r for r in described.collect()}["x"]
+    assert [row["p25"], row["p50"], row["p75"]] == want.tolist()
+
+
 def test_integer_columns(spark, path):
     df = spark.range(1001).select(F.col("id").cast("int").alias("x"))
     got = {r["fraction"]: r["value"] for r in Q.exact_quantiles(df, ["x"], [0.25, 0.5]).collect()}

@@ -163,3 +163,31 @@ def test_projections(spark):
     assert pair.select("p", "q").first() == (1, "s")
     with pytest.raises(TypeError):
         P.tuple_assign(df, F.lit(1), ["p"])
+
+
+def test_duplicates_are_found_by_hashes(spark):
+    """Whole rows of unique hashes do not travel; odd values and maps are told apart."""
+    df = spark.range(1000).select("id", F.repeat(F.lit("x"), 50).alias("wide"), (F.col("id") % 2 == 0).alias("flag"))
+    assert R.has_duplicates(df).first()[0] is False
+    assert R.has_duplicates(df.union(df.limit(1))).first()[0] is True
+    assert R.has_duplicates(df.limit(0)).first()[0] is False
+    nulls = spark.createDataFrame([(None, "a"), ("a", None), (None, None)], "a string, b string")
+    assert R.has_duplicates(nulls).first()[0] is False
+    assert R.has_duplicates(nulls.union(nulls)).first()[0] is True
+    arrays = spark.createDataFrame([([1, 2],), ([1], ), ([1, 2],)], "a array<int>")
+    assert R.has_duplicates(arrays).first()[0] is True
+
+
+def test_hot_day_is_sorted_by_many_tasks(spark):
+    """Nine rows of ten on one day, a third of those equal."""
+    days = spark.range(20_000).select(F.expr("date '2024-01-01' + if(id % 10 = 0, cast(id % 7 as int), 3)").alias("date_added"), F.expr("if(id % 3 = 0, 0, id)").alias("n"))
+    some = days.withColumn("date_added", F.when(F.col("n") % 101 != 1, F.col("date_added"))).repartition(8)
+    ordered = R.sort_by_date(some)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+        got = [r[0] for r in ordered.select("date_added").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == sorted(got, key=lambda d: (d is None, d or 0)) and len(got) == 20_000
+    assert max(sizes) < 0.3 * 20_000
