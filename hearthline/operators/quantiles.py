@@ -141,13 +141,18 @@ def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
 
 def _ranked(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
     """(wanted, lower, upper): the values at both ranks of every bracket."""
-    inside = F.filter(
-        F.array(*[F.struct(F.lit(i).alias("wanted"), _inside(b).alias("value")) for i, b in enumerate(brackets)]),
-        lambda e: e["value"].isNotNull(),
-    )
-    # Most rows are in no bracket; drop them before building any array.
-    hit = functools.reduce(lambda a, b: a | b, [_inside(b).isNotNull() for b in brackets])
-    counts = df.filter(hit).select(F.inline_outer(inside)).groupBy("wanted", "value").agg(F.count("*").alias("n"))
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    entries = F.array(*[F.struct(F.lit(i).alias("place"), clean_number(c).alias("value")) for i, c in enumerate(columns)])
+    value = F.col("value")
+
+    def held(b: _Bracket) -> Column:
+        return (F.col("place") == columns.index(b.column)) & value.between(b.low, b.high)
+
+    # Values are counted once for all brackets of their column, then dealt to them.
+    hit = functools.reduce(lambda a, b: a | b, map(held, brackets))
+    values = df.select(F.inline(entries)).filter(hit).groupBy("place", "value").agg(F.count("*").alias("n"))
+    dealt = F.array(*[F.when(held(b), F.lit(i)) for i, b in enumerate(brackets)])
+    counts = values.select(F.explode(dealt).alias("wanted"), "value", "n").filter(F.col("wanted").isNotNull())
     upto = F.sum("n").over(
         Window.partitionBy("wanted").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
