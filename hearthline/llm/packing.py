@@ -8,9 +8,11 @@ closest to its capacity, and backtracks how many of each. A pick is repeated as
 often as the counts allow. Tails then find their place by their rank among
 tails of the same length, which distributed prefix sums give.
 
-Where no multiset fills a window to its capacity, the tails that remain are
-laid end to end and cut at the capacity, so that only the last window of all is
-padded, whatever the lengths are.
+Where no multiset fills a window to its capacity, the closest one stays, and its
+slack is closed by a piece cut off the beginning of another tail. What is left
+of that tail goes back to the histogram under its new length. A tail that is
+not longer than the slack would have been picked, so there is always one to cut
+until the last window of all, the only one that is padded.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ import base64
 import functools
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -150,66 +152,77 @@ def closest_fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return picked
 
 
-@dataclass
-class Layout:
-    """Where tails go: ranges of ranks for each length, then the stream of the rest."""
-
-    #: For each length: first ranks, first sequences, tails a sequence, first offsets.
-    ranges: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    #: For each length: the first rank in the stream, and its place there.
-    stream: dict[int, tuple[int, int]]
-    #: Sequences filled before the stream.
-    filled: int
-    #: Tokens in the stream.
-    streamed: int
-
-
-def lay_out(histogram: dict[int, int], capacity: int) -> Layout:
-    counts = {n: c for n, c in histogram.items() if c > 0}
-    used = dict.fromkeys(counts, 0)
-    rows: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in counts}
-    rest: dict[int, int] = {}
-    filled = 0
-    while counts:
-        longest = max(counts)
-        others = counts | {longest: counts[longest] - 1}
+#: Columns of a layout: tails from a rank on, how many, the place of the first
+#: among its like, where their piece starts and how long it is, the first
+#: sequence, how many of the like a sequence holds, and the first one's offset.
+_RANKS, _COUNT, _PHASE, _START, _LENGTH, _SEQUENCE, _EACH, _OFFSET = range(8)
+
+#: For each length of tails: where the pieces of its ranks go.
+Layout = dict[int, np.ndarray]
+
+
+class _Pool:
+    """Tails, and what is left of cut ones, by length; ranks stay in runs."""
+
+    def __init__(self, histogram: dict[int, int]):
+        self.counts = {n: c for n, c in histogram.items() if c > 0}
+        #: For each length: (length of the tails at first, start of the rest, first rank, how many).
+        self.runs = {n: deque([(n, 0, 0, c)]) for n, c in self.counts.items()}
+        self.rows: dict[int, list[tuple[int, ...]]] = {n: [] for n in self.counts}
+
+    def take(self, length: int, wanted: int, piece: int, sequence: int, each: int, offset: int) -> None:
+        """Place a piece of ``piece`` ids of so many tails, and put the rest back."""
+        self.counts[length] -= wanted
+        if not self.counts[length]:
+            del self.counts[length]
+        phase, runs = 0, self.runs[length]
+        rest = length - piece
+        while phase < wanted:
+            origin, start, rank, count = runs.popleft()
+            used = min(count, wanted - phase)
+            if used < count:
+                runs.appendleft((origin, start, rank + used, count - used))
+            self.rows[origin].append((rank, used, phase, start, piece, sequence, each, offset))
+            if rest:
+                self.runs.setdefault(rest, deque()).append((origin, start + piece, rank, used))
+            phase += used
+        if rest:
+            self.counts[rest] = self.counts.get(rest, 0) + wanted
+
+
+def lay_out(histogram: dict[int, int], capacity: int) -> tuple[Layout, int]:
+    """Where the tails of each length go, and how many sequences they fill."""
+    pool, filled = _Pool(histogram), 0
+    while pool.counts:
+        longest = max(pool.counts)
+        others = pool.counts | {longest: pool.counts[longest] - 1}
         pick = closest_fill(others, capacity - longest)
         pick[longest] = pick.get(longest, 0) + 1
-        if sum(n * c for n, c in pick.items()) < capacity:
-            rest[longest] = counts.pop(longest)
-            continue
-        times = min(counts[n] // c for n, c in pick.items())
+        slack = capacity - sum(n * c for n, c in pick.items())
+        need = dict(pick)
+        # The length with most tails left is cut, so that a pick is repeated often.
+        left = [(c - pick.get(n, 0), n) for n, c in pool.counts.items() if n > slack and c > pick.get(n, 0)]
+        cut_off = max(left)[1] if slack and left else None
+        if cut_off is not None:
+            need[cut_off] = need.get(cut_off, 0) + 1
+        times = min(pool.counts[n] // c for n, c in need.items())
         offset = 0
         for n, c in sorted(pick.items(), reverse=True):
-            rows[n].append((used[n], filled, c, offset))
+            pool.take(n, c * times, n, filled, c, offset)
             offset += n * c
-            used[n] += c * times
-            counts[n] -= c * times
-            if not counts[n]:
-                del counts[n]
+        if cut_off is not None:
+            pool.take(cut_off, times, slack, filled, 1, offset)
         filled += times
-    place, stream = 0, {}
-    for n in sorted(rest, reverse=True):
-        stream[n] = (used[n], place)
-        place += n * rest[n]
-    ranges = {n: tuple(np.array(column, np.int64) for column in zip(*r, strict=True)) for n, r in rows.items() if r}
-    return Layout(ranges, stream, filled, place)
-
-
-def _tail_places(layout: Layout, capacity: int, base: int, length: int, rank: int) -> list[tuple[int, int, int, int]]:
-    """(start in the tail, length, sequence, offset) of each part of a tail."""
-    if length in layout.stream and rank >= layout.stream[length][0]:
-        first, place = layout.stream[length]
-        place += (rank - first) * length
-        sequence, offset = divmod(place, capacity)
-        sequence += base + layout.filled
-        head = min(length, capacity - offset)
-        parts = [(0, head, sequence, offset)]
-        return parts if head == length else [*parts, (head, length - head, sequence + 1, 0)]
-    firsts, sequences, each, offsets = layout.ranges[length]
-    k = int(np.searchsorted(firsts, rank, "right")) - 1
-    turn, inside = divmod(rank - int(firsts[k]), int(each[k]))
-    return [(0, length, base + int(sequences[k]) + turn, int(offsets[k]) + inside * length)]
+    return {n: np.array(rows, np.int64) for n, rows in pool.rows.items()}, filled
+
+
+def _tail_places(layout: Layout, base: int, length: int, rank: int) -> list[tuple[int, int, int, int]]:
+    """(start in the tail, length, sequence, offset) of each piece of a tail."""
+    rows = layout[length]
+    held = rows[(rows[:, _RANKS] <= rank) & (rank < rows[:, _RANKS] + rows[:, _COUNT])]
+    turn, inside = np.divmod(rank - held[:, _RANKS] + held[:, _PHASE], held[:, _EACH])
+    sequence, offset = base + held[:, _SEQUENCE] + turn, held[:, _OFFSET] + inside * held[:, _LENGTH]
+    return sorted(zip(held[:, _START].tolist(), held[:, _LENGTH].tolist(), sequence.tolist(), offset.tolist(), strict=True))
 
 
 _PIECES = "row long, id {id}, start long, length long, ids_crc32 long, n_tokens long, sequence_id long, offset long"
@@ -223,7 +236,7 @@ def _piece_batch(layout: Layout, capacity: int, base: int, batch: pa.RecordBatch
     for k, (n, whole, tail, crcs, tail_crc, first, rank) in enumerate(zip(*(batch.column(c).to_pylist() for c in names), strict=True)):
         rows += [(k, j * capacity, capacity, crcs[j], n, first + j, 0) for j in range(whole)]
         if tail:
-            parts = _tail_places(layout, capacity, base, tail, rank)
+            parts = _tail_places(layout, base, tail, rank)
             crc = tail_crc if len(parts) == 1 else None
             rows += [(k, whole * capacity + start, length, crc, n, sequence, offset) for start, length, sequence, offset in parts]
     owner, *columns = zip(*rows, strict=True)
@@ -258,7 +271,7 @@ def pack(docs: DataFrame, id: str = "doc_id", text: str = "text", capacity: int
     # Texts are encoded once, and what follows moves narrow rows only.
     encoded = cut(encoded.withColumns({"key": key, "one": F.lit(1), "all": F.lit(0), "row": F.monotonically_increasing_id()}), "encoded")
     total = encoded.agg(F.coalesce(F.sum("n_whole"), F.lit(0))).first()[0]
-    layout = lay_out({row["tail"]: row["count"] for row in encoded.where("tail > 0").groupBy("tail").count().collect()}, capacity)
+    layout, _ = lay_out({row["tail"]: row["count"] for row in encoded.where("tail > 0").groupBy("tail").count().collect()}, capacity)
     ranked = sums_before(encoded.drop("kept", "kept_from"), ["tail"], "key", ["row"], "one", "rank")
     ranked = sums_before(ranked, ["all"], "key", ["row"], "n_whole", "first_whole")
     pieces = cut(ranked.mapInArrow(batches(functools.partial(_piece_batch, layout, capacity, total)), _PIECES.format(id=kind)), "pieces")

@@ -80,6 +80,29 @@ def test_one_length_only(spark):
     check(rows, docs, 32)
 
 
+def test_every_window_is_a_closest_pick():
+    """All tails are laid out by picks; only the last sequence is short, and nothing is streamed."""
+    random.seed(6)
+    for capacity in (8, 33, 128):
+        for _ in range(60):
+            histogram = {random.randint(1, capacity - 1): random.randint(1, 40) for _ in range(random.randint(0, 9))}
+            layout, filled = packing.lay_out(histogram, capacity)
+            taken = defaultdict(list)
+            for length, count in histogram.items():
+                for rank in range(count):
+                    place = 0
+                    for start, piece, sequence, offset in packing._tail_places(layout, 0, length, rank):
+                        assert start == place and piece > 0
+                        place += piece
+                        taken[sequence].append((offset, piece))
+                    assert place == length
+            total = sum(n * c for n, c in histogram.items())
+            assert sorted(taken) == list(range(filled)) and filled == -(-total // capacity)
+            for parts in taken.values():
+                ends = np.cumsum([piece for _, piece in sorted(parts)])
+                assert [offset for offset, _ in sorted(parts)] == [0, *ends[:-1].tolist()] and ends[-1] <= capacity
+
+
 def test_closest_fill_is_best():
     random.seed(5)
     for _ in range(300):
