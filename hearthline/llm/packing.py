@@ -18,6 +18,7 @@ until the last window of all, the only one that is padded.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import re
 import zlib
@@ -34,13 +35,8 @@ from hearthline.llm.common import batches, cut, sums_before
 CAPACITY = 1024
 END_ID = 0
 VOCABULARY = "byte_bpe_50k"
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 1 << 18
-
-# White space other than the plain space and the newline, as Unicode has it.
-_ODD_SPACE = re.compile(
-    "[" + "".join(map(chr, [9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]"
-)
+#: Characters of a text that are encoded at once.
+SPAN = 1 << 16
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -49,8 +45,8 @@ class Encoder:
 
     No token crosses a single space between two words, since the tokenizer's
     pattern lets a word begin with a space but never end with one or hold one.
-    So texts are cut there, and the ids of words seen before are remembered.
-    Strings of special tokens inside a text are ordinary text.
+    So long texts are cut there. Strings of special tokens inside a text are
+    ordinary text.
     """
 
     def __init__(self, vocabulary: str):
@@ -59,30 +55,17 @@ class Encoder:
 
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        coder = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._encode = coder.encode_ordinary
-        self._known: dict[str, bytes] = {}
+        self._coder = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _fresh(self, text: str) -> bytes:
-        return np.array(self._encode(text), "<u4").tobytes()
+    def _part(self, text: str) -> bytes:
+        return self._coder.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     def ids(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
-            words = _SINGLE_SPACE.split(text)
-        else:
-            words = text.split(" ")
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = [self._fresh(words[0])]
-        try:
-            out += [known[word] for word in words[1:]]
-        except KeyError:
-            for word in dict.fromkeys(words[1:]):
-                if word not in known:
-                    known[word] = self._fresh(" " + word)
-            out[1:] = [known[word] for word in words[1:]]
-        return b"".join(out)
+        parts, start = [], 0
+        while len(text) - start > SPAN and (space := _SINGLE_SPACE.search(text, start + SPAN)):
+            parts.append(self._part(text[start : space.start()]))
+            start = space.start()
+        return b"".join([*parts, self._part(text[start:])])
 
 
 @functools.cache
@@ -152,13 +135,11 @@ def closest_fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return picked
 
 
-#: Columns of a layout: tails from a rank on, how many, the place of the first
-#: among its like, where their piece starts and how long it is, the first
-#: sequence, how many of the like a sequence holds, and the first one's offset.
-_RANKS, _COUNT, _PHASE, _START, _LENGTH, _SEQUENCE, _EACH, _OFFSET = range(8)
-
-#: For each length of tails: where the pieces of its ranks go.
-Layout = dict[int, np.ndarray]
+#: For each length of tails, and each start of a piece in them: the first ranks of
+#: runs of tails, and for each run (first rank, place of the first among its like,
+#: length of the piece, first sequence, how many of the like a sequence holds,
+#: offset of the first).
+Layout = dict[int, dict[int, tuple[list[int], list[tuple[int, ...]]]]]
 
 
 class _Pool:
@@ -168,7 +149,7 @@ class _Pool:
         self.counts = {n: c for n, c in histogram.items() if c > 0}
         #: For each length: (length of the tails at first, start of the rest, first rank, how many).
         self.runs = {n: deque([(n, 0, 0, c)]) for n, c in self.counts.items()}
-        self.rows: dict[int, list[tuple[int, ...]]] = {n: [] for n in self.counts}
+        self.rows: dict[int, dict[int, list[tuple[int, ...]]]] = {n: {} for n in self.counts}
 
     def take(self, length: int, wanted: int, piece: int, sequence: int, each: int, offset: int) -> None:
         """Place a piece of ``piece`` ids of so many tails, and put the rest back."""
@@ -182,7 +163,7 @@ class _Pool:
             used = min(count, wanted - phase)
             if used < count:
                 runs.appendleft((origin, start, rank + used, count - used))
-            self.rows[origin].append((rank, used, phase, start, piece, sequence, each, offset))
+            self.rows[origin].setdefault(start, []).append((rank, phase, piece, sequence, each, offset))
             if rest:
                 self.runs.setdefault(rest, deque()).append((origin, start + piece, rank, used))
             phase += used
@@ -213,16 +194,23 @@ def lay_out(histogram: dict[int, int], capacity: int) -> tuple[Layout, int]:
         if cut_off is not None:
             pool.take(cut_off, times, slack, filled, 1, offset)
         filled += times
-    return {n: np.array(rows, np.int64) for n, rows in pool.rows.items()}, filled
+    layout = {}
+    for n, starts in pool.rows.items():
+        ordered = {start: sorted(rows) for start, rows in starts.items()}
+        layout[n] = {start: ([row[0] for row in rows], rows) for start, rows in ordered.items()}
+    return layout, filled
 
 
 def _tail_places(layout: Layout, base: int, length: int, rank: int) -> list[tuple[int, int, int, int]]:
     """(start in the tail, length, sequence, offset) of each piece of a tail."""
-    rows = layout[length]
-    held = rows[(rows[:, _RANKS] <= rank) & (rank < rows[:, _RANKS] + rows[:, _COUNT])]
-    turn, inside = np.divmod(rank - held[:, _RANKS] + held[:, _PHASE], held[:, _EACH])
-    sequence, offset = base + held[:, _SEQUENCE] + turn, held[:, _OFFSET] + inside * held[:, _LENGTH]
-    return sorted(zip(held[:, _START].tolist(), held[:, _LENGTH].tolist(), sequence.tolist(), offset.tolist(), strict=True))
+    pieces, start = [], 0
+    while start < length:
+        firsts, runs = layout[length][start]
+        first, phase, piece, sequence, each, offset = runs[bisect.bisect_right(firsts, rank) - 1]
+        turn, inside = divmod(rank - first + phase, each)
+        pieces.append((start, piece, base + sequence + turn, offset + inside * piece))
+        start += piece
+    return pieces
 
 
 _PIECES = "row long, id {id}, start long, length long, ids_crc32 long, n_tokens long, sequence_id long, offset long"
