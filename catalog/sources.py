@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -10,11 +12,12 @@ from hearthline.functions.html import page_ready
 from hearthline.functions.text import ceil_div_pages, count_text_parse
 from hearthline.operators.filters import page_ready_filter
 from hearthline.operators.projection import empty_frame, frame_from_rows
-from hearthline.operators.rows import dedup_by_url, union_rows
+from hearthline.operators.rows import union_rows
 from hearthline.session import fresh_dir
 from hearthline.sources import readers as R
 from hearthline.sources import writers as W
 from hearthline.streaming.incremental import load_available, new_files
+from hearthline.streaming.pages import create_page_table, latest_pages, load_pages
 
 _CUSTOMERS = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -138,9 +141,10 @@ def incremental_pages(t):
     spark = t.spark
     folder, target, checkpoint = (fresh_dir(spark, f"pages-{p}") for p in ("in", "out", "state"))
     pages = t.pages.select("page_id", F.expr(_SHARED).alias("url"), "html")
+    name = "pages_" + uuid.uuid4().hex
+    create_page_table(spark, name, pages.schema, target, buckets=8)
     later = F.col("page_id") % 2 == 1
     for part in (pages.filter(~later), pages.filter(later)):
         part.write.mode("append").parquet(folder)
-        stream = new_files(spark, folder, pages.schema, file_format="parquet")
-        load_available(stream, target, checkpoint, prepare=dedup_by_url)
-    return dedup_by_url(spark.read.parquet(target).drop("load_id"))
+        load_pages(new_files(spark, folder, pages.schema, file_format="parquet"), name, checkpoint)
+    return latest_pages(spark, name)

@@ -29,6 +29,28 @@ def new_files(
     return reader.load(folder)
 
 
+def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    """Hand every new micro-batch, as a plain DataFrame with a load id, to ``write``, then stop.
+
+    A batch that is repeated after a failure has the same load id again; a new
+    checkpoint gives other ids.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        # The stream's id lives in its checkpoint, so a restart has the same.
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write(batch, f"{stream_id}-{number}")
+
+    query = (
+        stream.writeStream.foreachBatch(one)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def load_available(
     stream: DataFrame, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> StreamingQuery:
@@ -40,22 +62,13 @@ def load_available(
     when a new checkpoint starts counting from zero again.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        # The stream's id lives in its checkpoint, so a restart has the same.
-        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        rows = prepare(batch).withColumn("load_id", F.lit(f"{stream_id}-{number}"))
+    def write(batch: DataFrame, load_id: str) -> None:
         (
-            rows.write.mode("overwrite")
+            prepare(batch).withColumn("load_id", F.lit(load_id))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id")
             .parquet(target)
         )
 
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return drain(stream, checkpoint, write)
