@@ -17,8 +17,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.llm import words as W
 from hearthline.llm.common import array_rows, sum_arrays
@@ -191,18 +192,37 @@ def _compare_stream(shared: Broadcast, stream: Iterator[pa.RecordBatch]) -> Iter
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _heads(docs: DataFrame, quantiles: list[float], ranges: int) -> dict[float | None, list[str]]:
+def _key(docs: DataFrame) -> Column:
+    """The id in the form that edges are given in: numbers as double, others as they are."""
+    return F.col("id").cast("double") if isinstance(docs.schema["id"].dataType, T.NumericType) else F.col("id")
+
+
+def _edges(docs: DataFrame, ranges: int) -> list:
+    """Ids that cut the rows into ranges of about as many, in order; an id of many rows comes repeatedly.
+
+    Numbers by their quantiles, ids of other types by a sample of SAMPLED rows:
+    only the sizes of the ranges depend on it.
+    """
+    ids = docs.select("id").where("id is not null")
+    if isinstance(docs.schema["id"].dataType, T.NumericType):
+        return ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ids.take(1) else []
+    sample = sorted(row[0] for row in ids.orderBy(F.rand(7)).limit(SAMPLED).collect())
+    return [sample[k * len(sample) // ranges] for k in range(1, ranges)] if sample else []
+
+
+def _heads(docs: DataFrame, edges: list, ranges: int) -> dict[object, list[str]]:
     """For each id that fills several ranges, null among them, the heads of texts that cut it."""
     nulls, rows = docs.agg(F.count_if(F.col("id").isNull()), F.count("*")).first()
     # From 2^53 on a quantile may stand for several ids.
-    several = {id: n for id, n in Counter(quantiles).items() if n > 1 and abs(id) < 1 << 53}
+    several = {id: n for id, n in Counter(edges).items() if n > 1 and not (isinstance(id, float) and abs(id) >= 1 << 53)}
     if nulls * ranges > rows:
         several[None] = -(-nulls * ranges // rows)
     if not several:
         return {}
-    wanted = F.col("id").cast("double").isin([id for id in several if id is not None])
-    sample = docs.where(F.col("id").isNull() | wanted).select(F.col("id").cast("double").alias("id"), F.substring("text", 1, HEAD).alias("head"))
-    found: dict[float | None, list[str]] = {}
+    key = _key(docs)
+    wanted = key.isin([id for id in several if id is not None])
+    sample = docs.where(key.isNull() | wanted).select(key.alias("id"), F.substring("text", 1, HEAD).alias("head"))
+    found: dict[object, list[str]] = {}
     for row in sample.orderBy(F.rand(7)).limit(SAMPLED).collect():
         found.setdefault(row["id"], []).append(row["head"])
     cuts = {}
@@ -224,10 +244,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ranges = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("id").where("id is not null")
-    quantiles = ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ids.take(1) else []
-    edges = sorted(set(quantiles))
-    heads = _heads(docs, quantiles, ranges)
+    cutting = _edges(docs, ranges)
+    edges = sorted(set(cutting))
+    heads = _heads(docs, cutting, ranges)
     # Ranges count from the highest ids; rows without an id come last of all.
     number = F.lit(len(edges))
     if edges:
@@ -237,7 +256,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = F.lit(None).cast("array<string>")
     known = [F.lit(x) for id, texts in heads.items() if id is not None for x in (id, texts)]
     if known:
-        cuts = F.create_map(*known)[F.col("id").cast("double")]
+        cuts = F.create_map(*known)[_key(docs)]
     if None in heads:
         cuts = F.when(F.col("id").isNull(), F.lit(heads[None])).otherwise(cuts)
     inside = F.when(cuts.isNotNull(), F.size(F.filter(cuts, lambda head: head <= F.col("text")))).otherwise(F.lit(ranges))
@@ -260,7 +279,8 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", low: f
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
     Documents follow each other by descending id, null ids last, equal ids by
-    text; after the last comes the first. The edited text is the text with its
+    text; after the last comes the first. Ids may be numbers, texts (in code
+    point order), dates or timestamps. The edited text is the text with its
     last third (rounded down) replaced by as many characters of the next one,
     or all it has. Null text is empty. Equal texts have equal fingerprints; a
     text without lexicon terms is named by its words.

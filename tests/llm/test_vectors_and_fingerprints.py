@@ -180,6 +180,26 @@ def test_ranges_of_null_and_shared_ids(spark):
     assert max(r["count"] for r in placed) <= 150
 
 
+def test_fingerprints_with_ids_of_text(spark):
+    docs = [(f"doc-{k:04}é", f"own words {k}") for k in range(300)] + [("hot", f"text {k * 7 % 200:03} of one id") for k in range(200)]
+    docs += [(None, f"none {k}") for k in range(200)] + [("", "empty id"), ("\U0001f600", None), ("\uffff", "below the last")]
+    order = sorted((d for d in docs if d[0] is not None), key=lambda d: d[1] or "")
+    order.sort(key=lambda d: d[0], reverse=True)
+    order += sorted((d for d in docs if d[0] is None), key=lambda d: d[1])
+    want = [(id, len(text or ""), hashlib.sha256(edited(text or "", order[(k + 1) % len(order)][1] or "").encode()).hexdigest()) for k, (id, text) in enumerate(order)]
+    frame = spark.createDataFrame(docs, "doc_id string, text string")
+    for rows in (frame.repartition(5), frame.where("doc_id is null")):
+        got = imatch.document_fingerprints(rows)
+        assert got.schema["doc_id"].dataType.simpleString() == "string"
+        if rows.count() == len(docs):
+            assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got.collect()), key=str) == sorted(want, key=str)
+        else:
+            assert got.count() == 200
+    placed = imatch.with_next(frame.selectExpr("doc_id as id", "coalesce(text, '') as text")).groupBy("range", "guest").count().collect()
+    assert all(r["count"] == 1 for r in placed if r["guest"]) and max(r["count"] for r in placed) <= 150
+    assert imatch.document_fingerprints(frame.where("false")).collect() == []
+
+
 def test_lexicon_is_the_band(spark):
     texts = [f"everywhere {'half' if k % 2 else ''} once{k}" for k in range(40)]
     terms = imatch.lexicon(spark.createDataFrame([(t,) for t in texts], "text string"), low=0.1, high=0.6)
