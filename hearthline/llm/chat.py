@@ -20,6 +20,7 @@ from functools import cache, lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.llm.common import batches
 
@@ -158,10 +159,17 @@ def canonical(record: dict, mapping: Mapping) -> Iterator[tuple[int, str, str]]:
         turns = iter([(record.get(mapping.order), record.get(mapping.role), record.get(mapping.text))])
     for number, role, text in turns:
         role = _as_text(role)
-        yield number, ROLES.get(role, role), _as_text(text)
+        # A row that is itself a turn is canonical already: its role stays.
+        yield number, role if mapping.order else ROLES.get(role, role), _as_text(text)
 
 
-_TURNS = "id long, number long, role string, text string, layout string"
+_TURNS = "id {id}, number long, role string, text string, layout string"
+
+
+def _id_type(df: DataFrame, id: str) -> str:
+    """Whole numbers become long; ids of other types stay as they are."""
+    kind = df.schema[id].dataType
+    return "long" if isinstance(kind, T.IntegralType) else kind.simpleString()
 
 
 def _turn_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -177,7 +185,7 @@ def _turn_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         else:
             rows += [(id, number, role, text, mapping.name) for number, role, text in canonical(record, mapping)]
     columns = zip(*rows, strict=True) if rows else [[]] * 5
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+    kinds = (batch.schema.field("id").type, pa.int64(), pa.string(), pa.string(), pa.string())
     arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
     yield pa.RecordBatch.from_arrays(arrays, names=["id", "number", "role", "text", "layout"])
 
@@ -189,9 +197,13 @@ def canonical_turns(records: DataFrame, id: str = "id", record: str = "record")
     are passed over. A record that is not JSON, or whose other paths are not
     known, becomes one row with a null layout and the record as text, so nothing
     that may be a turn is lost without a trace.
-    Null texts and roles are empty. An empty list of turns gives no rows.
+    Null texts and roles are empty. An empty list of turns gives no rows. Ids of
+    any type are kept, whole numbers as long. Roles under the names of other
+    layouts become system, user and assistant; those of turn rows stay.
     """
-    return records.select(F.col(id).cast("long").alias("id"), F.col(record).cast("string").alias("record")).mapInArrow(batches(_turn_batch), _TURNS)
+    kind = _id_type(records, id)
+    named = records.select(F.col(id).cast(kind).alias("id"), F.col(record).cast("string").alias("record"))
+    return named.mapInArrow(batches(_turn_batch), _TURNS.format(id=kind))
 
 
 # --- the template -------------------------------------------------------------
@@ -240,7 +252,8 @@ def format_turns(turns: DataFrame) -> DataFrame:
     segment where numbers repeat; a null number comes last. Spans count
     characters in the segment and cover the escaped text of trained roles.
     """
-    return turns.select("id", "number", "role", "text").mapInArrow(batches(_segment_batch), "id long, number long, segment string, loss_start long, loss_end long")
+    rows = f"id {_id_type(turns, 'id')}, number long, segment string, loss_start long, loss_end long"
+    return turns.select("id", "number", "role", "text").mapInArrow(batches(_segment_batch), rows)
 
 
 _SEGMENT = re.compile(rf"{re.escape(START)}(?P<role>[^\n]*)\n(?P<text>.*?){re.escape(END)}\n", re.DOTALL)
@@ -258,13 +271,13 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return found
 
 
-_DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+_DIGEST = "conv_id {id}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 class _Running:
     """Digests of one conversation, a segment at a time."""
 
-    def __init__(self, id: int | None):
+    def __init__(self, id: object):
         self.id, self.turns, self.loss_chars, self.chars = id, 0, 0, 0
         self.said, self.loss = hashlib.sha256(), hashlib.sha256()
 
@@ -283,14 +296,15 @@ class _Running:
 
 
 def _digest_stream(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
     names = [part.split()[0] for part in _DIGEST.split(", ")]
 
     def rows(done: list[tuple]) -> pa.RecordBatch:
+        kinds = (id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
 
     now: _Running | None = None
     for batch in stream:
+        id_type = batch.schema.field("id").type
         done = []
         for id, formatted, start, end in zip(*(batch.column(c).to_pylist() for c in ("id", "segment", "loss_start", "loss_end")), strict=True):
             if now is None or now.id != id:
@@ -311,7 +325,7 @@ def digests(segments: DataFrame) -> DataFrame:
     one segment and two running hashes, however long the conversation is.
     """
     placed = segments.repartition("id").sortWithinPartitions("id", F.col("number").asc_nulls_last(), "segment")
-    return placed.mapInArrow(_digest_stream, _DIGEST)
+    return placed.mapInArrow(_digest_stream, _DIGEST.format(id=_id_type(segments, "id")))
 
 
 CONTROL = f"{END}{START}assistant ok"
@@ -321,7 +335,9 @@ def conversation_records(spark: SparkSession, conversations: DataFrame) -> DataF
     """The table's rows as records of the turn layout, and conversation -1 in the message layout."""
     row = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
     extra = json.dumps({"messages": [{"role": role, "content": CONTROL} for role in ("user", "assistant")]})
-    return conversations.select(F.col("conv_id").cast("long").alias("id"), row.alias("record")).union(spark.createDataFrame([(-1, extra)], "id long, record string"))
+    kind = _id_type(conversations, "conv_id")
+    own = conversations.select(F.col("conv_id").cast(kind).alias("id"), row.alias("record"))
+    return own.union(spark.createDataFrame([(-1, extra)], "id long, record string").select(F.col("id").cast(kind), "record"))
 
 
 def conversation_digests(conversations: DataFrame) -> DataFrame:

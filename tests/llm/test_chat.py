@@ -49,6 +49,20 @@ def test_awkward_rows(spark):
     assert [r["conv_id"] for r in chat.conversation_digests(frame.where("false")).collect()] == [-1]
 
 
+def test_ids_of_text_and_roles_of_rows(spark):
+    """Ids of text are kept, and a row's own role is not renamed."""
+    rows = [("a", 0, "human", "q"), ("a", 1, "gpt", "r"), ("é", 0, "assistant", "s"), (None, 0, "user", "t")]
+    frame = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {r["conv_id"]: tuple(r)[1:5] for r in chat.conversation_digests(frame).collect()}
+    assert got == {
+        "a": expected([("human", "q"), ("gpt", "r")]),
+        "é": expected([("assistant", "s")]),
+        None: expected([("user", "t")]),
+        "-1": expected([("user", chat.CONTROL), ("assistant", chat.CONTROL)]),
+    }
+    assert [r["conv_id"] for r in chat.conversation_digests(frame.where("false")).collect()] == ["-1"]
+
+
 @given(st.text(alphabet="<|\\im_startend>\nab"), st.text(alphabet="<|\\\nn>ab"))
 def test_template_is_reversible(text, role):
     formatted, start, end = chat.segment(role, text)
