@@ -206,8 +206,8 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     Word vectors come from all texts. Labels (0 or 1; other rows are left out)
     are learnt from ids whose crc32 is not divisible by 5, up to MAX_TRAINING
-    rows, those with the least hash of their id; a sixth of them sets the
-    temperature. The score sees the text alone, so a null or empty text or one
+    rows, those with the least hash of their id, equal rows of an id once; a
+    sixth of them sets the temperature. The score sees the text alone, so a null or empty text or one
     without words has the score of a document of zero vectors, and repeated
     rows are alike. Rows with a null id are scored, but not learnt from.
     """
@@ -219,7 +219,9 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     pooled = cut(pooled, "pooled")
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(F.col(id).alias("label_id"), F.col(label).cast("int").alias("label")).distinct()
     known = known.orderBy(F.xxhash64("label_id"), "label_id", "label").limit(MAX_TRAINING)
-    rows = pooled.join(F.broadcast(known), pooled["id"] == known["label_id"]).select("label", "pooled", F.xxhash64("label_id").alias("hash")).orderBy("hash", "label", "pooled").collect()
+    rows = pooled.join(F.broadcast(known), pooled["id"] == known["label_id"]).select("label", "pooled", F.xxhash64("label_id").alias("hash"))
+    # An id may stand for any number of rows; equal ones teach once, and the bound is on rows.
+    rows = rows.distinct().orderBy("hash", "label", "pooled").limit(MAX_TRAINING).collect()
     x = np.array([r["pooled"] for r in rows], np.float32).reshape(len(rows), 2 * DIMENSIONS)
     network = train(x, np.array([r["label"] for r in rows], int), np.array([r["hash"] % 6 == 0 for r in rows], bool))
 
