@@ -123,3 +123,17 @@ def test_no_exchange_holds_page_text(spark, small, threshold):
     moved = re.findall(r"\(\d+\) (?:Exchange|BroadcastExchange|Sort)\nInput \[\d+\]: \[([^\]]*)\]", text)
     assert moved and not any("html" in columns for columns in moved), text
     assert "Bucketed: true" in text
+
+
+def test_write_moves_no_row(spark, made, monkeypatch):
+    table, plans, sql = made(), [], type(spark).sql
+
+    def explained(session, text, *args, **named):
+        if text.startswith("INSERT"):
+            plans.append(sql(session, f"EXPLAIN {text}", *args, **named).first()[0])
+        return sql(session, text, *args, **named)
+
+    monkeypatch.setattr(type(spark), "sql", explained)
+    append_pages(spark.range(100).selectExpr("id as page_id", "'u' as url", "'h' as html"), table, "one")
+    assert len(plans) == 1 and "Insert" in plans[0] and "Exchange" not in plans[0], plans
+    assert spark.table(table).count() == 100
