@@ -7,6 +7,7 @@ style names become the Parquet scans.
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,9 @@ NAMES = (
     "conversations"
 ).split()
 
+# Rows that one task makes pages of, about.
+_TASK_ROWS = 100_000
+
 # Flag i of an order is 1 when (key * a + customer) has remainder 0 by b.
 _FLAG_RULE = {name: (2 * i + 3, i % 7 + 2) for i, name in enumerate(S.RAW_FLAGS)}
 
@@ -221,13 +225,17 @@ class Tables:
 
     @cached_property
     def listing_pages(self) -> DataFrame:
-        return self.spark.sql(LISTING_PAGES, raw=self._spread(self.raw_listings))
+        raw = self.spark.sql(RAW_LISTINGS.replace('"', "`"), orders=self._spread(self.orders))
+        return self.spark.sql(LISTING_PAGES, raw=raw)
 
     def _spread(self, df: DataFrame) -> DataFrame:
-        """Over all cores where the scan has fewer splits than that.
+        """Over all cores, and over more tasks where there are many rows.
 
-        The test tables are single small files; everything made from them
-        would otherwise be made on one core.
+        The test tables are single files of few row groups. A split of such a
+        file may hold no rows at all, so the number of splits tells nothing;
+        everything made from them would be made on as many cores as there are
+        row groups.
         """
         cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        # Whole rounds of tasks.
+        return df.repartition(cores * max(1, math.ceil(df.count() / (_TASK_ROWS * cores))))
