@@ -2,8 +2,9 @@
 
 A page is cut once into a token table: the pieces between ``<`` characters and
 the tag name that each piece begins with. All selectors read that table, so
-elements may be nested to any depth and further fields cost little. The work
-stays in the JVM and a page's text is not copied to a worker.
+elements may be nested to any depth and further fields cost little. Fields of
+pages whose elements are hardly nested are found by one pattern each, without
+the table. The work stays in the JVM and a page's text is not copied to a worker.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ def _attribute(name: str, value: str) -> str:
     """An attribute that equals the value, or for a class holds it as a token."""
     wanted = re.escape(value)
     if name == "class":
-        inner = rf"(?:[^\"'>]*\s)?{wanted}(?:\s[^\"'>]*)?"
+        inner = rf"(?:[^\"'<>]*\s)?{wanted}(?:\s[^\"'<>]*)?"
     else:
         inner = wanted
     return rf"\s{name}\s*=\s*(?:\"{inner}\"|'{inner}'|{wanted}(?=[\s>]))"
@@ -302,17 +303,82 @@ def html_child(element: Column, tag: str) -> Column:
     return _read(element, (), child)
 
 
-def html_texts(page: Column | Tokens, *selectors: Selector) -> Column:
-    """Unstripped text of the first element of each selector, as an array; null where a page has none.
+#: The end of a tag's name: white space, a slash, ``>``, the next tag or the page's end.
+_NAME_END = r"(?![^\s/><])"
+#: Elements of one name inside each other that the pattern of a whole element follows.
+_DEEP = 2
+
 
-    The page is cut once and all texts are decoded together, so ask for all
-    fields of a page at once.
+def _whole(selector: Selector) -> str:
+    """An element with its start tag, up to its end tag or the page's end.
+
+    Where elements of its name are nested deeper than the pattern follows, or
+    are not closed, it stops behind the ``<`` of such a start tag.
     """
+    tag, attribute = selector
+    start, end = rf"<{tag}{_NAME_END}", rf"</{tag}{_NAME_END}"
+    other = rf"[^<]*+(?:<(?!/?{tag}{_NAME_END})[^<]*+)*+"
+    inside = other
+    for _ in range(_DEEP):
+        inside = rf"{other}(?:{start}{inside}{end}{other})*+"
+    if attribute is None:
+        opening = rf"{start}[^<>]*+>"
+    else:
+        opening = rf"<(?={tag}{_NAME_END})(?=[^<]*(?-i:{re.escape(attribute[1])}))[^<>]*?{_attribute(*attribute)}[^<>]*+>"
+    return rf"(?is){opening}{inside}(?:<(?={tag}{_NAME_END}))?"
 
-    def found(t: Tokens) -> Column:
-        return F.array(*[html_element(t, *selector) for selector in selectors])
 
-    return plain_texts(_read(page, selectors, found))
+def _elements(page: Column, single: tuple[Selector, ...], pair: tuple[Selector, Selector] | None = None) -> Column:
+    """The first element of each selector, null where there is none, and the pair's ``html_attribute_elements``, as an array.
+
+    One pattern finds a whole element where few of its name are nested; only a
+    page with deeper ones is cut into a token table.
+    """
+    selectors = single + (pair or ())
+
+    def by_tokens(t: Tokens) -> Column:
+        first = F.array(*[html_element(t, *selector) for selector in single])
+        return F.concat(first, html_attribute_elements(t, *pair)) if pair else first
+
+    def deep(element: Column) -> Column:
+        # Also said of text that happens to end so, which costs time only.
+        return element.endswith("<")
+
+    def chosen(page: Column, found: Column) -> Column:
+        known = F.transform(found, lambda element: F.when(element != "", element))
+        return F.when(F.exists(found, deep), _read(page, selectors, by_tokens)).otherwise(known)
+
+    def read(page: Column) -> Column:
+        first = F.array(*[F.regexp_extract(page, _whole(selector), 0) for selector in single])
+        if pair is None:
+            return _once(first, lambda found: chosen(page, found))
+
+        def inner_of(element: Column) -> Column:
+            return F.when(deep(element), element).otherwise(F.regexp_extract(element, _whole(pair[1]), 0))
+
+        outer = F.regexp_extract_all(page, F.lit(_whole(pair[0])), F.lit(0))
+        inner = F.filter(F.transform(outer, inner_of), lambda element: element != "")
+        return _once(F.concat(first, inner), lambda found: chosen(page, found))
+
+    if pair and pair[0][0] == pair[1][0]:
+        # The pattern of the inner one would find the outer one.
+        return _read(page, selectors, by_tokens)
+    return _once(page, read)
+
+
+def html_fields(page: Column, single: tuple[Selector, ...], outer: Selector, inner: Selector) -> Column:
+    """Texts of ``html_texts`` for the single selectors, followed by the unstripped ones of ``html_attributes``."""
+    return plain_texts(_elements(page, single, (outer, inner)))
+
+
+def html_texts(page: Column | Tokens, *selectors: Selector) -> Column:
+    """Unstripped text of the first element of each selector, as an array; null where a page has none.
+
+    All texts are decoded together, so ask for all fields of a page at once.
+    """
+    if not isinstance(page, Tokens):
+        return plain_texts(_elements(page, selectors))
+    return plain_texts(F.array(*[html_element(page, *selector) for selector in selectors]))
 
 
 def html_text(page: Column | Tokens, tag: str, attribute: tuple[str, str] | None = None) -> Column:
@@ -376,7 +442,8 @@ def html_attributes(
     page: Column | Tokens, outer: Selector = ("div", ("class", "attr")), inner: Selector = ("span", ("class", "valu"))
 ) -> Column:
     """The first inner element's text of every outer element, as an array."""
-    return F.transform(plain_texts(html_attribute_elements(page, outer, inner)), strip_ws)
+    elements = html_attribute_elements(page, outer, inner) if isinstance(page, Tokens) else _elements(page, (), (outer, inner))
+    return F.transform(plain_texts(elements), strip_ws)
 
 
 def html_result_links(page: Column | Tokens, item: Selector) -> Column:

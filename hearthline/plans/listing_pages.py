@@ -32,17 +32,13 @@ class Selectors:
 def extract_fields(pages: DataFrame, at: Selectors = Selectors()) -> DataFrame:
     """Basic columns, the attribute list and the fee flag of every page.
 
-    Comments and scripts are removed and the page is cut into tags once; all
-    fields are read from that, and their texts are decoded together.
+    Comments and scripts are removed once; all fields are read from that, and
+    their texts are decoded together.
     """
     kept = [c for c in pages.columns if c != "html"]
     single = (at.title, at.price, at.housing, at.address)
-    selectors = (*single, at.attribute, at.attribute_value)
-    page = H.Tokens(F.col("_tokens"), selectors)
-    elements = F.array(*[H.html_element(page, *field) for field in single])
-    found = F.concat(elements, H.html_attribute_elements(page, at.attribute, at.attribute_value))
-    cut = pages.select(*kept, H.tokens(H.visible(F.col("html")), *selectors).alias("_tokens"))
-    texts = cut.select(*kept, found.alias("_found")).select(*kept, H.plain_texts(F.col("_found")).alias("_texts"))
+    found = H.html_fields(H.visible(F.col("html")), single, at.attribute, at.attribute_value)
+    texts = pages.select(*kept, found.alias("_texts"))
 
     attributes = F.slice("_texts", len(single) + 1, F.size("_texts"))
     fields = texts.select(

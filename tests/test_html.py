@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import html as stdlib_html
 import html.entities
+import random
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -183,3 +184,31 @@ def test_long_page_does_not_overflow(spark):
     row = extract_fields(frame(spark, page)).first()
     assert row["attributes"] == ["deep"]
     assert row["Price"] == "$5"
+
+
+def _random_pages(n):
+    pick = random.Random(3).choice
+    tags = ['<span class="price">', "<SPAN class='x valu'>", '<div class="attr">', "<div class=attr\n>", '<span id="titletextonly">', "<span>"]
+    tags += ["<div>", "</span>", "</Span >", "</div>", "</div>", "<spanx>", "</spanx>", "<b>", "<", "<span", '<div class="attr', "</span/", ">"]
+    return ["".join(pick(tags) if k % 3 else pick("ab& ") for k in range(pick((2, 9, 40)))) for _ in range(n)]
+
+
+def test_patterns_find_what_the_token_table_holds(spark):
+    pages = frame(spark, *_random_pages(1500), "", None)
+    single = (("span", ("class", "price")), ("span", ("id", "titletextonly")), ("div", None))
+    pair = (("div", ("class", "attr")), ("span", ("class", "valu")))
+    table = H.Tokens(F.col("t"), (*single, *pair))
+    by_table = F.concat(F.array(*[H.html_element(table, *s) for s in single]), H.html_attribute_elements(table, *pair))
+    cut = pages.select("html", H.tokens(F.col("html"), *single, *pair).alias("t"))
+    rows = cut.select("html", by_table.alias("a"), H._elements(F.col("html"), single, pair).alias("b")).collect()
+    assert [r["html"] for r in rows if r["a"] != r["b"]] == []
+    assert sum(len(r["a"] or []) > len(single) for r in rows) > 100
+
+
+def test_listing_pages_need_no_token_table(spark):
+    # A token table costs several times as much as the patterns; only deep nesting ends a match with a bracket.
+    pages = frame(spark, PAGE.format(price="$1"))
+    at = (("span", ("id", "titletextonly")), ("span", ("class", "housing")), ("div", ("class", "attrgroup")), ("div", ("class", "attr")))
+    found = pages.select(*[F.regexp_extract("html", H._whole(s), 0) for s in at]).first()
+    assert all(found) and not any(text.endswith("<") for text in found)
+    assert found[0].endswith(" &amp; quiet&#x21;")
