@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,6 +27,8 @@ BOOSTING_DEPTH = 3
 TEST_SHARE = 0.2
 #: Quantiles that a continuous feature may be split at.
 BINS = 256
+#: Rows that one task reads when trees are grown, about.
+TASK_ROWS = 250_000
 
 
 def standardize(df: DataFrame, columns: Sequence[str] = tuple(S.STANDARDIZED), fit_on: DataFrame | None = None) -> DataFrame:
@@ -80,12 +83,22 @@ def train_test_split(
     return hashed.filter(~held_out).drop("_hash"), hashed.filter(held_out).drop("_hash")
 
 
+def _dealt(train: DataFrame) -> DataFrame:
+    """The rows over all cores, in more tasks where there are many.
+
+    How many splits a scan has says little: of a file of few row groups most
+    splits hold no rows, and all work would be done by as many tasks.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores * max(1, math.ceil(train.count() / (TASK_ROWS * cores))))
+
+
 def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Assemble the features and fit.
 
     Least squares reads the train part once. Trees read it once per level or
-    round, so for them it is kept in executor memory, spilling to disk, in the
-    partitions it comes in; a lost copy is recomputed.
+    round, so for them it is dealt out evenly and kept in executor memory,
+    spilling to disk; a lost copy is recomputed.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     pipeline = Pipeline(stages=[assembler, estimator])
@@ -93,7 +106,7 @@ def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> Pipe
         return pipeline.fit(train)
     # Fitting cuts its lineage every few rounds if there is a folder for it.
     ensure_checkpoints(train.sparkSession)
-    kept = train.persist()
+    kept = _dealt(train).persist()
     try:
         return pipeline.fit(kept)
     finally:

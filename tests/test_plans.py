@@ -7,6 +7,8 @@ import uuid
 
 import numpy as np
 import pytest
+from pyspark.ml.base import Estimator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from hearthline import schema as S
@@ -257,3 +259,20 @@ def test_prepared_features(spark):
     assert data.train.count() + data.test.count() == 84
     on_train = price_model.prepare(listings, "id", fit_on_train=True)
     assert on_train.train.agg(F.avg("square_feet")).first()[0] == pytest.approx(0, abs=1e-9)
+
+
+class _Seen(Estimator):
+    """Notes how many rows each partition has that it is fitted on."""
+
+    def _fit(self, dataset):
+        self.rows = [r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect()]
+        return VectorAssembler(inputCols=["features"], outputCol="same")
+
+
+def test_trees_are_fitted_by_all_cores(spark, monkeypatch):
+    seen, train = _Seen(), spark.range(4000).coalesce(1).select(F.col("id").cast("double").alias("x"))
+    M.fit(seen, train, ["x"])
+    assert sum(seen.rows) == 4000 and len(seen.rows) == 8 and max(seen.rows) < 1000
+    monkeypatch.setattr(M, "TASK_ROWS", 200)
+    M.fit(seen, train, ["x"])
+    assert sum(seen.rows) == 4000 and len(seen.rows) == 24
