@@ -2,8 +2,9 @@
 
 Vectors are cut into shards around pivots, and every shard gets an M-tree of
 its own: pages of entries, each with a routing vector, a covering radius and
-the distance to the routing vector of its page. A query walks a tree best
-first, by an upper bound of the products that an entry can hold:
+the distance to the routing vector of its page. The queries that visit a shard
+walk its tree together, best first, each with its own upper bound of the
+products that an entry can hold, and leave a page as soon as theirs is too low:
 
 * q.x <= q.v + |q| r, as no vector of the entry is further than r from v;
 * 2 q.x = |q|^2 + |x|^2 - d(q, x)^2, with the largest |x|^2 of the entry and
@@ -11,7 +12,8 @@ first, by an upper bound of the products that an entry can hold:
 
 Before an entry's own product is computed, both bounds are taken with the
 stored distance to the parent in place of it; entries that cannot reach the
-k-th score are passed over without touching their vectors.
+k-th score of any query are passed over without touching their vectors. A page
+meets its queries in one matrix product.
 
 A query first visits the shards with the highest bounds. Its k-th score there
 is the floor for all others: only shards whose bound reaches it are visited.
@@ -22,6 +24,7 @@ entry with the k + 1 smallest ids, so copies cost nothing and ties are kept.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 
 import numpy as np
@@ -188,7 +191,7 @@ def trees(rows: DataFrame, k: int) -> DataFrame:
 # --- search -----------------------------------------------------------------
 
 
-def _bounds(products, distances, radius, norm, length: float, square: float):
+def _bounds(products, distances, radius, norm, length, square):
     """The highest product that entries can hold, a little more than exact."""
     first = products + length * radius
     second = (square + norm - np.maximum(distances - radius, 0) ** 2) / 2
@@ -206,48 +209,66 @@ class _Page:
         self.squares = (self.vectors**2).sum(axis=1)
 
 
-def _walk(pages: dict[int, _Page], query: np.ndarray, own: int, k: int, floor: float) -> list[tuple[float, int]]:
-    """The k best (-score, id) of a tree that reach the floor."""
-    square = float(query @ query)
-    length = math.sqrt(square)
-    best: list[tuple[float, int]] = []
-    open_ = [(-math.inf, -1, 0.0, 0.0)]
+def _walk_all(pages: dict[int, _Page], queries: np.ndarray, own: list[int], k: int, floors: np.ndarray) -> list[list[tuple[float, int]]]:
+    """For each query the k best (-score, id) of a tree that reach its floor."""
+    square = (queries**2).sum(axis=1)
+    length, floors = np.sqrt(square), floors.astype(float)
+    best: list[list[tuple[float, int]]] = [[] for _ in queries]
+    start = np.arange(len(queries))
+    order = itertools.count()
+    # The page with the highest bound of all its queries, by their length, comes first.
+    open_ = [(-math.inf, next(order), -1, start, np.full(len(start), math.inf), np.zeros(len(start)), np.zeros(len(start)))]
     while open_:
-        bound, number, product, distance = heapq.heappop(open_)
-        if -bound < floor:
-            break
-        page = pages[number]
-        able = np.arange(len(page.parent))
-        if number >= 0:
+        _, _, number, who, bound, product, distance = heapq.heappop(open_)
+        on = bound >= floors[who]
+        if not on.any():
+            continue
+        who, product, distance, page = who[on], product[on, None], distance[on, None], pages[number]
+        entries = np.arange(len(page.parent))
+        if number >= 0 and (floors[who] > -math.inf).any():
             # From the parent alone: d(q, v) is at least the difference of both distances to it.
             far = np.abs(distance - page.parent)
+            long, wide = length[who, None], square[who, None]
             by_parent = np.minimum(
-                _bounds(product + length * page.parent, 0.0, page.radius, page.norm + square, length, square),
-                _bounds(math.inf, far, page.radius, page.norm, length, square),
+                _bounds(product + long * page.parent, 0.0, page.radius, page.norm + wide, long, wide),
+                _bounds(math.inf, far, page.radius, page.norm, long, wide),
             )
-            able = np.flatnonzero(by_parent >= floor)
-        if not len(able):
-            continue
-        products = page.vectors[able] @ query
+            able = by_parent >= floors[who, None]
+            who, entries = who[able.any(axis=1)], np.flatnonzero(able.any(axis=0))
+            if not len(who):
+                continue
+        products = queries[who] @ page.vectors[entries].T
         if page.leaf:
-            good = np.flatnonzero(products >= floor)
-            if len(good) > k + 1:
-                good = good[products[good] >= np.partition(products[good], -(k + 1))[-(k + 1)]]
-            for at in good.tolist():
-                for member, copies in zip(page.ids[able[at]].tolist(), page.copies[able[at]].tolist(), strict=True):
-                    if member != own:
-                        best += [(-float(products[at]), member)] * copies
-            best = heapq.nsmallest(k, best)
-            if len(best) == k:
-                floor = max(floor, -best[-1][0])
+            reach = np.flatnonzero((products >= floors[who, None]).any(axis=1))
+            for q, scores in zip(who[reach].tolist(), products[reach], strict=True):
+                good = np.flatnonzero(scores >= floors[q])
+                if len(good) > k + 1:
+                    good = good[scores[good] >= np.partition(scores[good], -(k + 1))[-(k + 1)]]
+                for at in good.tolist():
+                    for member, copies in zip(page.ids[entries[at]].tolist(), page.copies[entries[at]].tolist(), strict=True):
+                        if copies and member != own[q]:
+                            best[q] += [(-float(scores[at]), member)] * copies
+                best[q] = heapq.nsmallest(k, best[q])
+                if len(best[q]) == k:
+                    floors[q] = max(floors[q], -best[q][-1][0])
             continue
-        distances = np.sqrt(np.maximum(square + page.squares[able] - 2 * products, 0))
-        bounds = _bounds(products, distances, page.radius[able], page.norm[able], length, square)
-        for at in np.flatnonzero(bounds >= floor).tolist():
-            heapq.heappush(open_, (-float(bounds[at]), page.child[able[at]], float(products[at]), float(distances[at])))
+        long, wide = length[who, None], square[who, None]
+        distances = np.sqrt(np.maximum(wide + page.squares[entries] - 2 * products, 0))
+        bounds = _bounds(products, distances, page.radius[entries], page.norm[entries], long, wide)
+        height = bounds / np.maximum(long, 1)
+        wanted = bounds >= floors[who, None]
+        for at in np.flatnonzero(wanted.any(axis=0)).tolist():
+            some = wanted[:, at]
+            held = (who[some], bounds[some, at], products[some, at], distances[some, at])
+            heapq.heappush(open_, (-float(height[some, at].max()), next(order), page.child[entries[at]], *held))
     return best
 
 
+def _walk(pages: dict[int, _Page], query: np.ndarray, own: int, k: int, floor: float) -> list[tuple[float, int]]:
+    """The same for one query."""
+    return _walk_all(pages, query[None], [own], k, np.array([floor]))[0]
+
+
 _FOUND = "query_id long, query_key long, vec_id long, score long"
 
 
@@ -257,10 +278,10 @@ def _walks(k: int, queries: pa.Table, pages: pa.Table) -> pa.Table:
         dimension = queries.column("dimension")[0].as_py()
         held = {row["page"]: _Page(row, dimension, k) for row in pages.to_pylist()}
         vectors = _matrix(queries.column("vector"), dimension)
-        asked = zip(*(queries.column(c).to_pylist() for c in ("query_id", "query_key", "floor")), vectors, strict=True)
-        for query_id, key, floor, vector in asked:
-            floor = -math.inf if floor is None else float(floor)
-            found += [(query_id, key, id, int(-score)) for score, id in _walk(held, vector, query_id, k, floor)]
+        ids, keys, floors = (queries.column(c).to_pylist() for c in ("query_id", "query_key", "floor"))
+        floors = np.array([-math.inf if floor is None else floor for floor in floors], float)
+        walked = zip(ids, keys, _walk_all(held, vectors, ids, k, floors), strict=True)
+        found = [(query_id, key, id, int(-score)) for query_id, key, best in walked for score, id in best]
     columns = list(zip(*found, strict=True)) or [()] * 4
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "query_key", "vec_id", "score"])
 

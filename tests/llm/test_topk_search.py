@@ -93,3 +93,33 @@ def test_walk_leaves_pages_out():
         want = sorted((-s, i) for i, s in enumerate(scores.tolist()))[:5]
         assert got == want
     assert Counting.seen < 0.5 * 30 * len(pages)
+
+
+def test_queries_walk_a_tree_together():
+    """Each page is fetched once for all queries, and each query gets what it gets alone."""
+    rng = np.random.default_rng(6)
+    vectors = np.floor(rng.normal(size=(3000, 8)) * rng.uniform(1, 200, (3000, 1)))
+    pages = {}
+    for number, leaf, entries, parent, radius, norm, child in K._Tree(vectors).pages:
+        ids = np.repeat(np.asarray(entries)[:, None], 6, axis=1)
+        row = {"leaf": leaf, "vectors": vectors[entries].astype(np.int32).tobytes(), "child": np.asarray(child, np.int32).tobytes()}
+        row |= {c: np.asarray(x, float).tobytes() for c, x in (("parent", parent), ("radius", radius), ("norm", norm))}
+        row |= {"ids": ids.astype(np.int64).tobytes(), "copies": np.eye(1, 6, dtype=np.int32).repeat(len(entries), 0).tobytes()}
+        pages[number] = K._Page(row, 8, 5)
+
+    class Counting(dict):
+        seen = 0
+
+        def __getitem__(self, key):
+            Counting.seen += 1
+            return super().__getitem__(key)
+
+    scores = vectors[:200] @ vectors.T
+    scores[np.arange(200), np.arange(200)] = -math.inf
+    # Some know a floor that they just reach, one a floor beyond all.
+    floors = np.where(np.arange(200) % 3 == 0, np.sort(scores, axis=1)[:, -5], -math.inf)
+    floors[7] = scores[7].max() + 1
+    got = K._walk_all(Counting(pages), vectors[:200], list(range(200)), 5, floors)
+    assert Counting.seen <= len(pages)
+    want = [sorted((-s, i) for i, s in enumerate(row.tolist()))[:5] for row in scores]
+    assert [g for q, g in enumerate(got) if q != 7] == [w for q, w in enumerate(want) if q != 7] and got[7] == []
